@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
     LinearSVC,
     LinearSVCModel,
@@ -49,10 +50,28 @@ def estimator_and_grid(name: str):
     return e, g.build()
 
 
-def fit(name: str, train: DataFrame, grid_index: int = 0):
+# Grid point of a fit without a search; the linear SVM takes the stronger
+# regularisation, the others their first point.
+DEFAULT_POINT = {"LinearSVC": 1}
+PARALLELISM = 8
+
+
+def fit(name: str, train: DataFrame, grid_index: int | None = None):
     """Fit one grid point."""
     estimator, grid = estimator_and_grid(name)
-    return estimator.copy(grid[grid_index]).fit(train)
+    return estimator.copy(grid[DEFAULT_POINT.get(name, 0) if grid_index is None else grid_index]).fit(train)
+
+
+def fit_all(names: list[str], train: DataFrame, parallelism: int = PARALLELISM) -> dict:
+    """Fit several models on the same cached table.  An iterative fit is a
+    chain of short jobs, so running the fits side by side fills the cluster."""
+    train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            run = inheritable_thread_target(train.sparkSession)(lambda n: fit(n, train))
+            return dict(zip(names, pool.map(run, names)))
+    finally:
+        train.unpersist()
 
 
 def positive_score(scored: DataFrame) -> Column:
@@ -74,7 +93,7 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def cross_validate(name: str, train: DataFrame, folds: int, fold_col: str = "fold", parallelism: int = 2) -> CrossValidatorModel:
+def cross_validate(name: str, train: DataFrame, folds: int, fold_col: str = "fold", parallelism: int = PARALLELISM) -> CrossValidatorModel:
     """Grid search by k-fold cross-validation on the area under the ROC curve.
 
     The folds are the integer column ``fold_col``, so they are the same on

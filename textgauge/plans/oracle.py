@@ -160,7 +160,7 @@ def _mcnemar_test(pairs: str) -> str:
   WITH t AS (SELECT *, b_correct1_wrong2 AS b, c_wrong1_correct2 AS c FROM ({pairs})),
   x AS (SELECT *, CASE WHEN b + c = 0 THEN 0.0 ELSE (abs(b - c) - 1)::DOUBLE ** 2 / (b + c) END AS chi2 FROM t),
   q AS (SELECT *, CASE WHEN b + c = 0 THEN 1.0 ELSE 2 / sqrt(pi()) * (10.0 / 2000) / 3 * list_sum(list_transform(range(0, 2001),
-      i -> (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-((sqrt(chi2 / 2) + i * 10.0 / 2000) ** 2)))) END AS p FROM x)
+      lambda i: (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-((sqrt(chi2 / 2) + i * 10.0 / 2000) ** 2)))) END AS p FROM x)
   SELECT model_1, model_2, b_correct1_wrong2, c_wrong1_correct2, round(chi2, 6) AS chi2, round(p, 6) AS p_value,
          chi2 > 3.841458820694124 AS significant_005 FROM q"""
 
@@ -191,7 +191,7 @@ def split_of(*keys) -> str:
 IDS = "SELECT d.doc_id, l.quality AS label FROM documents d JOIN labels l USING (doc_id)"
 
 TOKENS = f"""
-  SELECT doc_id, list_filter(string_split(text, ' '), w -> w NOT IN {STOPS}) AS words FROM ({CLEAN_DOCS})"""
+  SELECT doc_id, list_filter(string_split(text, ' '), lambda w: w NOT IN {STOPS}) AS words FROM ({CLEAN_DOCS})"""
 TF = f"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(words) AS term FROM ({TOKENS})) GROUP BY 1, 2"
 DF = f"SELECT term, count(*) AS df FROM ({TF}) GROUP BY term"
 N_DOCS = f"(SELECT count(*) FROM ({CLEAN_DOCS}))"
@@ -372,7 +372,7 @@ ORACLE = {
   sz AS (SELECT label, count(*) AS n FROM b GROUP BY label),
   ch AS (SELECT b.doc_id, 1 - b.label AS other, b.r, sz.n AS donors FROM b JOIN sz ON sz.label = 1 - b.label WHERE b.r <= floor(floor(b.n * 0.1) / 2)),
   pr AS (SELECT ch.doc_id, dn.donor_id FROM ch JOIN dn ON dn.label = ch.other AND dn.r = (ch.r - 1) % ch.donors + 1),
-  t AS (SELECT doc_id, text, label, list_filter(string_split_regex(text, '\\s+'), w -> w <> '') AS ws FROM ({LABELLED}))
+  t AS (SELECT doc_id, text, label, list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '') AS ws FROM ({LABELLED}))
   SELECT t.doc_id, t.label, pr.donor_id, CASE WHEN pr.donor_id IS NULL THEN t.text
     ELSE array_to_string(list_slice(t.ws, 1, len(t.ws) // 2), ' ') || ' ' || d.text END AS text
   FROM t LEFT JOIN pr ON pr.doc_id = t.doc_id LEFT JOIN documents d ON d.doc_id = pr.donor_id""",
@@ -383,9 +383,9 @@ ORACLE = {
   WITH p AS (SELECT doc_id, text, string_split(replace(text, '. ', '.' || {MARK}), {MARK}) AS parts, {PHRASES} AS ph,
       {h32('noise-first', 'doc_id')} % 15 AS a, {h32('noise-step', 'doc_id')} % 14 + 1 AS s,
       {h32('noise-count', 'doc_id')} % 2 = 1 AS two, {h32('noise-at', 'doc_id')} % 1073741824 AS q, {unif('noise', 'doc_id')} < 0.45 AS hit FROM documents),
-  x AS (SELECT *, q % (len(parts) + 1) AS at FROM p)
-  SELECT doc_id, CASE WHEN hit THEN array_to_string(list_concat(list_concat(parts[1:at],
-      CASE WHEN two THEN [ph[(a + s) % 15 + 1], ph[a + 1]] ELSE [ph[a + 1]] END), parts[at + 1:]), ' ') ELSE text END AS text FROM x""",
+  x AS (SELECT *, q % (len(parts) + 1) AS pos FROM p)
+  SELECT doc_id, CASE WHEN hit THEN array_to_string(list_concat(list_concat(parts[1:pos],
+      CASE WHEN two THEN [ph[(a + s) % 15 + 1], ph[a + 1]] ELSE [ph[a + 1]] END), parts[pos + 1:]), ' ') ELSE text END AS text FROM x""",
     # crawl
     "crawl_articles": r"""
   WITH p AS (SELECT *, lower(regexp_extract(html, '<html[^>]*\slang="([A-Za-z]+)', 1)) AS language FROM pages)

@@ -108,7 +108,7 @@ def split_roundtrip(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch.scratch_path(spark, "raw-csv")
     sinks.write_csv(tables.labelled_documents(spark, sf_dir, ["doc_id", "text"]), path, by="label")
-    schema = T.StructType().add("doc_id", "long").add("text", "string").add("label", "int")
+    schema = T.StructType().add("doc_id", "long").add("text", "string").add("label", "integer")
     return sinks.read_csv(spark, path, schema)
 
 
@@ -638,8 +638,8 @@ def train_nb(spark, sf_dir):
 def prediction_scores(spark, sf_dir):
     """A model with probabilities next to one with margins only."""
     training, validation, _ = _feature_splits(spark, sf_dir)
-    return rounded(train.union_all([
-        train.predictions(train.fit(n, training), validation, n) for n in ("NaiveBayes", "LinearSVC")]))
+    models = train.fit_all(["NaiveBayes", "LinearSVC"], training)
+    return rounded(train.union_all([train.predictions(m, validation, n) for n, m in models.items()]))
 
 
 @query
@@ -652,31 +652,43 @@ def score_batch(spark, sf_dir):
 @query
 def model_metrics(spark, sf_dir):
     training, validation, test = _feature_splits(spark, sf_dir)
-    frames = []
-    for n in train.MODEL_NAMES:
-        model = train.fit(n, training)
-        for s, data in (("validation", validation), ("test", test)):
-            frames.append(train.predictions(model, data, n).withColumn("split", F.lit(s)))
-    return rounded(evaluate.evaluate(train.union_all(frames), ["split", "model"]), 4)
+    models = train.fit_all(train.MODEL_NAMES, training)
+    return rounded(evaluate.evaluate(train.union_all([
+        train.predictions(m, data, n).withColumn("split", F.lit(s))
+        for n, m in models.items() for s, data in (("validation", validation), ("test", test))
+    ]), ["split", "model"]), 4)
 
 
 @query
 def model_roundtrip(spark, sf_dir):
     training, validation, _ = _feature_splits(spark, sf_dir)
-    checks = []
-    for n in ("NaiveBayes", "LinearSVC"):
-        model = train.fit(n, training)
-        loaded = train.save_and_load(model, n, scratch.scratch_path(spark, n))
-        checks.append(train.prediction_mismatches(
-            train.predictions(model, validation, n), train.predictions(loaded, validation, n)))
-    return train.union_all(checks)
+    before, after = [], []
+    for n, m in train.fit_all(train.MODEL_NAMES, training).items():
+        loaded = train.save_and_load(m, n, scratch.scratch_path(spark, n))
+        before.append(train.predictions(m, validation, n))
+        after.append(train.predictions(loaded, validation, n))
+    return train.prediction_mismatches(train.union_all(before), train.union_all(after))
 
 
-@query
-def cv_grid(spark, sf_dir):
+def _cv_grid(spark, sf_dir, names):
     training, _, _ = _feature_splits(spark, sf_dir)
     return rounded(train.union_all([
-        train.grid_table(spark, n, train.cross_validate(n, training, FOLDS)) for n in train.MODEL_NAMES]))
+        train.grid_table(spark, n, train.cross_validate(n, training, FOLDS)) for n in names]))
+
+
+@query
+def cv_grid(spark, sf_dir):
+    return _cv_grid(spark, sf_dir, ["LogisticRegression", "NaiveBayes"])
+
+
+@query
+def cv_grid_svc(spark, sf_dir):
+    return _cv_grid(spark, sf_dir, ["LinearSVC"])
+
+
+@query
+def cv_grid_rf(spark, sf_dir):
+    return _cv_grid(spark, sf_dir, ["RandomForest"])
 
 
 @query
@@ -684,7 +696,7 @@ def cv_fold_metrics(spark, sf_dir):
     training, validation, _ = _feature_splits(spark, sf_dir)
     scored = train.union_all([
         train.fold_predictions(n, train.cross_validate(n, training, FOLDS), training, validation)
-        for n in ("NaiveBayes", "LinearSVC")])
+        for n in ("NaiveBayes", "RandomForest")])
     per_fold = evaluate.evaluate(scored, ["scope", "model", "fold"])
     return rounded(per_fold.select("scope", "model", "fold", "accuracy", "f1_weighted", "f1_positive", "auc"), 4)
 
