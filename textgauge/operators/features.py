@@ -10,7 +10,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import MIN_CHARS, NON_LETTER_PATTERN, STAT_COLUMNS, URL_PATTERN, with_text_stats
+from ..functions.text import MIN_CHARS, NON_LETTER_PATTERN, SPACE_PATTERN, STAT_COLUMNS, URL_PATTERN, with_text_stats
 
 NUM_FEATURES = 1 << 14
 MIN_DOC_FREQ = 5
@@ -37,7 +37,7 @@ def cleaning_stage(input_col: str = "text", output_col: str = "clean_text", min_
 
     expr = f"regexp_replace({input_col}, {lit(URL_PATTERN)}, '')"
     expr = f"regexp_replace({expr}, {lit(NON_LETTER_PATTERN)}, '')"
-    expr = f"trim(lower(regexp_replace({expr}, {lit(chr(92) + 's+')}, ' ')))"
+    expr = f"trim(lower(regexp_replace({expr}, {lit(SPACE_PATTERN)}, ' ')))"
     return SQLTransformer(statement=(
         f"SELECT * FROM (SELECT *, {expr} AS {output_col} FROM __THIS__) WHERE length({output_col}) >= {min_chars}"))
 

@@ -35,8 +35,13 @@ def clean_articles(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 def clean_text(df: DataFrame, text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """Replace the text by its cleaned form and drop what became too short."""
-    return df.withColumn(text_col, cleaned(text_col)).where(F.length(text_col) >= min_chars)
+    """Replace the text by its cleaned form and drop what became too short.
+
+    The length test sits inside the generator.  As an ordinary filter it
+    would be pushed below the projection, and the regexes would run twice.
+    """
+    kept = F.filter(F.array(cleaned(text_col)), lambda t: F.length(t) >= min_chars)
+    return df.select(*[c for c in df.columns if c != text_col], F.explode(kept).alias(text_col))
 
 
 def label_name(label_col: str = "label", names: dict[int, str] | None = None) -> Column:

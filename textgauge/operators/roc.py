@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITTERS = 128
+SPLITTER_BITS = 8
 
 
 def score_groups(pred: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,25 +27,39 @@ def _splitters(groups: DataFrame, keys: list[str], n: int) -> DataFrame:
     # A rank filter this small is applied in each task before the shuffle.
     by_hash = Window.partitionBy(*keys).orderBy(F.xxhash64("score"), "score")
     return (
-        groups.select(*keys, "score")
+        # Every group has rows; asking for its counts keeps this branch equal
+        # to the other uses of ``groups``, so the table is scanned once.
+        groups.where(F.col("pos") + F.col("neg") > 0)
+        .select(*keys, "score")
         .withColumn("_r", F.row_number().over(by_hash))
         .where(F.col("_r") <= n)
         .groupBy(*keys)
-        .agg(F.collect_list("score").alias("_cuts"))
+        .agg(F.sort_array(F.collect_list("score"), asc=False).alias("_cuts"))
     )
 
 
-def cumulative_counts(pred: DataFrame, keys: list[str], splitters: int = SPLITTERS) -> DataFrame:
+def _with_bucket(df: DataFrame, bits: int) -> DataFrame:
+    """``_b`` = number of splitters above the score, by binary search in the
+    descending ``_cuts`` (reading past the end gives null, which is no hit)."""
+    df = df.withColumn("_b", F.lit(0))
+    for step in (1 << i for i in reversed(range(bits))):
+        hit = F.get("_cuts", F.col("_b") + (step - 1)) > F.col("score")
+        df = df.withColumn("_b", F.when(hit, F.col("_b") + step).otherwise(F.col("_b")))
+    return df.drop("_cuts")
+
+
+def cumulative_counts(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> DataFrame:
     """Per distinct score: ``pos``/``neg`` at it, ``cum_pos``/``cum_neg`` at or
-    above it, ``all_pos``/``all_neg`` of the group."""
+    above it, ``all_pos``/``all_neg`` of the group.  Scores are divided into
+    ``2 ** bits`` buckets."""
     groups = score_groups(pred, keys)
-    cuts = _splitters(groups, keys, splitters)
-    above = F.size(F.filter("_cuts", lambda c: c > F.col("score")))
-    bucketed = groups.join(cuts, keys).withColumn("_b", above).drop("_cuts")
-
     by_bucket = [*keys, "_b"]
+    cuts = _splitters(groups, keys, (1 << bits) - 1)
+    # Both uses below start from this one shuffle.
+    bucketed = _with_bucket(groups.join(cuts, keys), bits).repartition(*by_bucket)
+
     totals = bucketed.groupBy(*by_bucket).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    # At most ``splitters + 1`` rows per group reach these windows.
+    # At most ``2 ** bits`` rows per group reach these windows.
     over_group = Window.partitionBy(*keys)
     before = over_group.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -57,7 +71,8 @@ def cumulative_counts(pred: DataFrame, keys: list[str], splitters: int = SPLITTE
     )
     inside = Window.partitionBy(*by_bucket).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = bucketed.withColumns({"_cp": F.sum("pos").over(inside), "_cn": F.sum("neg").over(inside)})
-    return running.join(offsets, by_bucket).select(
+    # The big side is already partitioned by bucket and stays where it is.
+    return running.join(offsets.hint("shuffle_hash"), by_bucket).select(
         *keys, "score", "pos", "neg",
         (F.col("_pos_before") + F.col("_cp")).alias("cum_pos"),
         (F.col("_neg_before") + F.col("_cn")).alias("cum_neg"),
@@ -65,10 +80,10 @@ def cumulative_counts(pred: DataFrame, keys: list[str], splitters: int = SPLITTE
     )
 
 
-def roc_curve(pred: DataFrame, keys: list[str], splitters: int = SPLITTERS) -> DataFrame:
+def roc_curve(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> DataFrame:
     """A point per distinct threshold plus the origin (threshold null).
     Rates are null where a class is missing."""
-    c = cumulative_counts(pred, keys, splitters)
+    c = cumulative_counts(pred, keys, bits)
     fpr = F.try_divide(F.col("cum_neg"), F.col("all_neg"))
     tpr = F.try_divide(F.col("cum_pos"), F.col("all_pos"))
     first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
@@ -78,10 +93,10 @@ def roc_curve(pred: DataFrame, keys: list[str], splitters: int = SPLITTERS) -> D
     return c.select(*keys, F.inline(points))
 
 
-def area_under_roc(pred: DataFrame, keys: list[str], splitters: int = SPLITTERS) -> DataFrame:
+def area_under_roc(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> DataFrame:
     """Trapezoid area: each score adds its negatives times the positives above
     it, half of the positives tied with it included."""
-    c = cumulative_counts(pred, keys, splitters)
+    c = cumulative_counts(pred, keys, bits)
     doubled = F.sum(F.col("neg").cast("double") * (2 * F.col("cum_pos") - F.col("pos")).cast("double"))
     pairs = F.max("all_pos").cast("double") * F.max("all_neg").cast("double")
     return c.groupBy(*keys).agg(F.try_divide(doubled, 2.0 * pairs).alias("auc"))

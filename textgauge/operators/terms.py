@@ -26,9 +26,11 @@ def term_counts(docs: DataFrame, words_col: str = "words") -> DataFrame:
     """
     keep = [c for c in docs.columns if c != words_col]
     step1 = docs.withColumn("_s", F.array_sort(words_col)).drop(words_col)
-    step2 = step1.where(F.size("_s") > 0).withColumn("_starts", F.filter(
-        F.sequence(F.lit(0), F.size("_s") - 1),
-        lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)),
+    # Position ``size`` is one past the end; it keeps the range valid for
+    # documents without tokens and is filtered out again.
+    step2 = step1.withColumn("_starts", F.filter(
+        F.sequence(F.lit(0), F.size("_s")),
+        lambda i: (i < F.size("_s")) & ((i == 0) | (F.get("_s", i) != F.get("_s", i - 1))),
     ))
     terms = F.transform("_starts", lambda s, k: F.struct(
         F.get("_s", s).alias("term"),
@@ -111,12 +113,11 @@ def naive_bayes_terms(docs: DataFrame, smoothing: float = 1.0) -> tuple[DataFram
         F.sum(F.when(F.col("label") == 0, F.col("tf")).otherwise(0)).alias("n0"),
         F.sum(F.when(F.col("label") == 1, F.col("tf")).otherwise(0)).alias("n1"),
     )
-    totals = per_term.agg(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.count("*").alias("d"))
     sizes = docs.agg(F.count_if(F.col("label") == 0).alias("c0"), F.count_if(F.col("label") == 1).alias("c1"))
+    totals = per_term.agg(F.struct(F.sum("n0").alias("s0"), F.sum("n1").alias("s1"), F.count("*").alias("d"))).scalar()
 
     def theta(i: int) -> Column:
-        total, d = totals.select(f"s{i}").scalar(), totals.select("d").scalar()
-        return F.ln((F.col(f"n{i}") + smoothing) / (total + smoothing * d))
+        return F.ln((F.col(f"n{i}") + smoothing) / (totals[f"s{i}"] + smoothing * totals["d"]))
 
     terms = per_term.select("term", "n0", "n1", theta(0).alias("theta0"), theta(1).alias("theta1"))
     prior = F.ln((F.col("n") + smoothing) / (F.col("c0") + F.col("c1") + 2 * smoothing))

@@ -120,7 +120,7 @@ def _auc(source: str, keys: str) -> str:
   r AS (SELECT *, rank() OVER (PARTITION BY {keys} ORDER BY score)
                 + (count(*) OVER (PARTITION BY {keys}, score) - 1) / 2.0 AS mid FROM p)
   SELECT {keys}, (sum(mid) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2.0)
-         / (sum(label) * (count(*) - sum(label)))::DOUBLE AS auc FROM r GROUP BY {keys}"""
+         / nullif(sum(label) * (count(*) - sum(label)), 0)::DOUBLE AS auc FROM r GROUP BY {keys}"""
 
 
 def _roc(source: str) -> str:

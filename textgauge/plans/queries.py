@@ -36,7 +36,7 @@ def query(fn):
 
 def _clean_docs(spark, sf_dir) -> DataFrame:
     """(doc_id, text) of all documents after cleaning."""
-    return quality.clean_text(tables.documents(spark, sf_dir, ["doc_id", "text"]))
+    return quality.clean_text(tables.texts(spark, sf_dir))
 
 
 def _words(spark, sf_dir) -> DataFrame:
@@ -44,7 +44,10 @@ def _words(spark, sf_dir) -> DataFrame:
 
 
 def _labelled_words(spark, sf_dir) -> DataFrame:
-    return _words(spark, sf_dir).join(tables.labels(spark, sf_dir), "doc_id")
+    """Tokens of the labelled documents, written once: every use after this
+    reads columns of a table instead of cleaning the texts again."""
+    docs = _words(spark, sf_dir).join(tables.labels(spark, sf_dir), "doc_id")
+    return scratch.materialise(docs, "labelled-words")
 
 
 def _labelled_ids(spark, sf_dir) -> DataFrame:
@@ -53,7 +56,7 @@ def _labelled_ids(spark, sf_dir) -> DataFrame:
 
 def _labelled_stats(spark, sf_dir) -> DataFrame:
     """Statistics next to the scan, so no text takes part in the join."""
-    stats = with_text_stats(tables.documents(spark, sf_dir, ["doc_id", "text"])).drop("text")
+    stats = with_text_stats(tables.texts(spark, sf_dir)).drop("text")
     return stats.join(tables.labels(spark, sf_dir), "doc_id")
 
 
@@ -129,13 +132,13 @@ def repartition_balance(spark, sf_dir):
 
 @query
 def text_statistics(spark, sf_dir):
-    return rounded(with_text_stats(tables.documents(spark, sf_dir, ["doc_id", "text"])).drop("text"))
+    return rounded(with_text_stats(tables.texts(spark, sf_dir)).drop("text"))
 
 
 @query
 def text_stats_transformer(spark, sf_dir):
     stage = features.TextStatistics(inputCol="text")
-    return rounded(stage.transform(tables.documents(spark, sf_dir, ["doc_id", "text"])).drop("text"))
+    return rounded(stage.transform(tables.texts(spark, sf_dir)).drop("text"))
 
 
 @query
@@ -229,7 +232,7 @@ def null_audit(spark, sf_dir):
 
 @query
 def quality_funnel(spark, sf_dir):
-    return quality.quality_funnel(tables.documents(spark, sf_dir, ["text"]))
+    return quality.quality_funnel(tables.texts(spark, sf_dir).select("text"))
 
 
 @query
@@ -459,14 +462,14 @@ def document_frequency(spark, sf_dir):
 
 @query
 def idf_weights(spark, sf_dir):
-    n_docs = terms.count_scalar(_clean_docs(spark, sf_dir))
-    return rounded(terms.idf_weights(terms.document_frequency(_words(spark, sf_dir)), n_docs))
+    words = scratch.materialise(_words(spark, sf_dir), "words")
+    return rounded(terms.idf_weights(terms.document_frequency(words), terms.count_scalar(words)))
 
 
 @query
 def tfidf(spark, sf_dir):
-    n_docs = terms.count_scalar(_clean_docs(spark, sf_dir))
-    return rounded(terms.tfidf(_words(spark, sf_dir), n_docs))
+    words = scratch.materialise(_words(spark, sf_dir), "words")
+    return rounded(terms.tfidf(words, terms.count_scalar(words)))
 
 
 @query
@@ -560,7 +563,7 @@ def hashing_tf(spark, sf_dir):
 
 
 def _raw_docs(spark, sf_dir):
-    return tables.documents(spark, sf_dir, ["doc_id", "text"])
+    return tables.texts(spark, sf_dir)
 
 
 @query

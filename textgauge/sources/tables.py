@@ -19,6 +19,19 @@ def documents(spark, sf_dir, columns=("doc_id", "text", "lang", "source")) -> Da
     return table(spark, sf_dir, "documents", list(columns))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table that is read in fewer tasks than there are
+    cores (a file of one row group, say).  Tables with enough tasks, which is
+    every large one, are returned as they are and not shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark, sf_dir, columns=("doc_id", "text")) -> DataFrame:
+    """Documents for CPU-heavy text work."""
+    return spread(documents(spark, sf_dir, columns), "doc_id")
+
+
 def labels(spark, sf_dir, label_col: str = "quality") -> DataFrame:
     """``(doc_id, label)`` of the external label table."""
     return table(spark, sf_dir, "labels").select("doc_id", F.col(label_col).alias("label"))
