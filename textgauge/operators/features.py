@@ -38,8 +38,9 @@ def cleaning_stage(input_col: str = "text", output_col: str = "clean_text", min_
     expr = f"regexp_replace({input_col}, {lit(URL_PATTERN)}, '')"
     expr = f"regexp_replace({expr}, {lit(NON_LETTER_PATTERN)}, '')"
     expr = f"trim(lower(regexp_replace({expr}, {lit(SPACE_PATTERN)}, ' ')))"
+    # A WHERE on the cleaned text would be pushed down and clean it twice.
     return SQLTransformer(statement=(
-        f"SELECT * FROM (SELECT *, {expr} AS {output_col} FROM __THIS__) WHERE length({output_col}) >= {min_chars}"))
+        f"SELECT * FROM __THIS__ LATERAL VIEW explode(filter(array({expr}), t -> length(t) >= {min_chars})) c AS {output_col}"))
 
 
 def tokenizer(input_col: str = "clean_text") -> Tokenizer:

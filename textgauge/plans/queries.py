@@ -601,8 +601,10 @@ def feature_model_transform(spark, sf_dir):
 
 def _feature_splits(spark, sf_dir):
     """Features of the labelled articles, written once per split and read
-    back: training starts from files, not from a long lineage."""
-    arts = quality.clean_articles(tables.articles(spark, sf_dir))
+    back: training starts from files, not from a long lineage.  The cleaned
+    articles are written too, since fitting and transforming both read them."""
+    arts = scratch.materialise(quality.clean_articles(tables.articles(spark, sf_dir)), "articles")
+    arts = tables.spread(arts, "doc_id")
     model = features.fit_features(arts)
     table = features.feature_table(model, arts, ["doc_id", "source", "subject", "label"])
     table = splits.hash_split(table).withColumn("fold", bucket("fold", FOLDS, "doc_id").cast("int"))
