@@ -33,6 +33,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[97:123] = True
+_LETTER[128:] = True
 _POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
@@ -88,6 +91,38 @@ class Piece:
             raw = (sums[self.ends] - sums[self.starts]) * _powers("down", len(data) + 1)[self.starts]
             return mix(raw ^ (self.ends - self.starts).astype(np.uint64))
 
+    def core_hashes(self) -> np.ndarray:
+        """As ``word_hashes`` of the letters alone, in lower case: punctuation
+        and digits around or inside a word do not count."""
+        data = _LOWER[self.data]
+        letter = _LETTER[data]
+        place = np.zeros(len(data) + 1, np.int64)
+        np.cumsum(letter, out=place[1:])
+        with np.errstate(over="ignore"):
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(np.where(letter, _BYTE_CODES[data] * _powers("up", len(data) + 1)[place[:-1]], 0), out=sums[1:])
+            raw = (sums[self.ends] - sums[self.starts]) * _powers("down", len(data) + 1)[place[self.starts]]
+            return mix(raw ^ (place[self.ends] - place[self.starts]).astype(np.uint64))
+
+    def sentence_of(self) -> np.ndarray:
+        """Sentence (0-based in the piece) of each word.  A sentence ends after
+        a word that ends with one of ``.!?``, at a line break and with its text."""
+        n = len(self.starts)
+        if not n:
+            return np.zeros(0, np.int64)
+        ends = np.isin(self.data[self.ends - 1], np.frombuffer(b".!?", np.uint8))
+        breaks = np.zeros(len(self.data) + 1, np.int64)
+        np.cumsum(self.data == 10, out=breaks[1:])
+        ends[:-1] |= breaks[self.starts[1:]] > breaks[self.ends[:-1]]
+        ends[:-1] |= self.owner[1:] != self.owner[:-1]
+        return np.concatenate([[0], np.cumsum(ends[:-1])])
+
+    def code_points(self, at: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Byte positions as code-point positions inside their texts."""
+        points = np.zeros(len(self.data) + 1, np.int64)
+        np.cumsum((self.data & 0xC0) != 0x80, out=points[1:])
+        return points[at] - points[self.offsets[owner]]
+
     def shingles(self, hashes: np.ndarray, k: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all runs of ``k`` words and the text of each.  With
         ``short`` a text of fewer words has its whole sequence as one."""
