@@ -42,27 +42,28 @@ def statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFram
     d = d.select(*keep, "_w", n.cast("long").alias("n_words"), chars.cast("long").alias("word_chars"),
                  symbols.cast("long").alias("n_symbols"), lines.alias("_l"))
     d = d.withColumn("n_dup_lines", (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"))
-    # Each window is one number, its hash above and its place in the low bits:
-    # after sorting, equal windows are neighbours in the order of their places.
-    # Neighbours of equal hashes are compared word by word.
+    def window(i):
+        """Hash of the window that begins at place ``i`` (0-based)."""
+        return F.xxhash64(*[F.get("_w", i + j) for j in range(WINDOW)])
+    d = d.withColumn("_h", F.when(F.col("n_words") >= WINDOW, F.transform(F.sequence(F.lit(0), F.size("_w") - WINDOW), window)))
+    # Most texts repeat nothing; the others sort their windows.  Each window is
+    # then one number, its hash above and its place in the low bits, so equal
+    # windows are neighbours in the order of their places.
     d = d.withColumn("_scale", F.expr("shiftleft(1L, cast(ceil(log2(n_words + 2)) as int))"))
-    packed = F.when(F.col("n_words") >= WINDOW, F.transform(
-        F.sequence(F.lit(1), F.size("_w") - WINDOW + 1),
-        lambda i: F.xxhash64(F.slice("_w", i, WINDOW)).bitwiseAND(-F.col("_scale")) + i))
-    d = d.withColumn("_p", F.sort_array(packed))
+    packed = F.transform("_h", lambda h, i: h.bitwiseAND(-F.col("_scale")) + i)
+    d = d.withColumn("_p", F.when(F.size(F.array_distinct("_h")) < F.size("_h"), F.sort_array(packed)))
     def place(x):
         return x.bitwiseAND(F.col("_scale") - 1).cast("int")
     def same(x, y):
-        near = (x - place(x)) == (y - place(y))
-        return near & (F.slice("_w", place(x), WINDOW) == F.slice("_w", place(y), WINDOW))
-    k = F.size("_p")
-    hit = F.filter(F.sequence(F.lit(0), k - 1), lambda i: (
-        F.coalesce(same(F.get("_p", i), F.get("_p", i + 1)), F.lit(False)) | F.coalesce(same(F.get("_p", i - 1), F.get("_p", i)), F.lit(False))))
-    starts = F.sort_array(F.transform(hit, lambda i: place(F.get("_p", i))))
-    d = d.withColumn("_s", F.when(k > 0, starts))
+        near = x.bitwiseAND(-F.col("_scale")) == y.bitwiseAND(-F.col("_scale"))
+        for j in range(WINDOW):
+            near = near & (F.get("_w", place(x) + j) == F.get("_w", place(y) + j))
+        return F.coalesce(near, F.lit(False))
+    hit = F.filter("_p", lambda x, i: same(x, F.get("_p", i + 1)) | same(F.get("_p", i - 1), x))
+    d = d.withColumn("_s", F.sort_array(F.transform(hit, place)))
     # Covered words: each start adds what the next one does not reach over.
-    covered = F.aggregate(F.transform(F.sequence(F.lit(0), F.size("_s") - 1), lambda i: F.least(
-        F.lit(WINDOW), F.coalesce(F.get("_s", i + 1) - F.get("_s", i), F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
+    covered = F.aggregate(F.transform("_s", lambda x, i: F.least(
+        F.lit(WINDOW), F.coalesce(F.get("_s", i + 1) - x, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
     d = d.withColumn("n_repeat_words", F.coalesce(F.when(F.size("_s") > 0, covered), F.lit(0)).cast("long"))
     return d.select(*keep, *COUNTS)
 
