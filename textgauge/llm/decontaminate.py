@@ -72,7 +72,7 @@ def raw_tokens(text: Column | str) -> Column:
 def _windows(df: DataFrame, key: str, width: int) -> DataFrame:
     """``(key, place, h)`` of every window of ``width`` tokens."""
     n = F.size("tokens") - width + 1
-    hashes = F.transform(F.sequence(F.lit(1), n), lambda i: F.xxhash64(F.slice("tokens", i, width)))
+    hashes = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*[F.get("tokens", i + j) for j in range(width)]))
     return df.where(n > 0).select(key, F.posexplode(hashes).alias("place", "h"))
 
 
