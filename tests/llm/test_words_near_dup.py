@@ -28,10 +28,11 @@ def test_words_are_those_of_the_pattern():
 
 def test_equal_words_have_equal_hashes_wherever_they_are():
     (p,) = pieces(pa.array(["the Cat the", "cat", "THE, cat!"]))
-    plain, low, core = p.word_hashes(), p.word_hashes(lower=True), p.core_hashes()
+    plain, low, (core, lead) = p.word_hashes(), p.word_hashes(lower=True), p.core_hashes((2,))
     assert plain[0] == plain[2] and plain[1] != plain[3]
     assert low[1] == low[3]
     assert core[4] == core[0] and core[5] == core[3]
+    assert lead[0] == lead[4] != lead[1] and lead[1] == lead[3]
     assert p.sentence_of().tolist() == [0, 0, 0, 1, 2, 2]
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
+from .sizes import small
 
 # Units of measure that follow a number.
 UNITS = [
@@ -76,11 +77,6 @@ def _windows(df: DataFrame, key: str, width: int) -> DataFrame:
     return df.where(n > 0).select(key, F.posexplode(hashes).alias("place", "h"))
 
 
-def small(df: DataFrame, limit: int) -> DataFrame:
-    """Broadcast a written table only if it was counted to be small."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``(doc_id, item_id, place, n_windows, matched, n_slots)``: documents
     that hold a benchmark item, and where (template token).

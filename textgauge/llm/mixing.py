@@ -20,11 +20,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
+from .sizes import small
 from .words import mix
 
 WORD = r"[^\x20\x09-\x0D]+"
-# Rows up to which a table of one row per source is broadcast.
-BROADCAST_SOURCES = 50_000
 
 
 @dataclass(frozen=True)
@@ -73,11 +72,6 @@ def targets(sized: DataFrame, rule: Mixture = Mixture()) -> DataFrame:
     return s.select("source", "source_size", target.alias("target"))
 
 
-def small(df: DataFrame, limit: int = BROADCAST_SOURCES) -> DataFrame:
-    """Broadcast a written table only if it was counted to be small."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def _with_source(left: DataFrame, right: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
     """Join on ``source`` (null equals null) and ``keys``, all taken from the
     left side."""

@@ -91,18 +91,26 @@ class Piece:
             raw = (sums[self.ends] - sums[self.starts]) * _powers("down", len(data) + 1)[self.starts]
             return mix(raw ^ (self.ends - self.starts).astype(np.uint64))
 
-    def core_hashes(self) -> np.ndarray:
+    def core_hashes(self, prefixes: tuple[int, ...] = ()) -> list[np.ndarray]:
         """As ``word_hashes`` of the letters alone, in lower case: punctuation
-        and digits around or inside a word do not count."""
+        and digits around or inside a word do not count.  Then, for each length
+        in ``prefixes``, hashes of so many leading bytes of the letters, 0 for
+        words that are no longer."""
         data = _LOWER[self.data]
         letter = _LETTER[data]
         place = np.zeros(len(data) + 1, np.int64)
         np.cumsum(letter, out=place[1:])
+        codes = data[letter]
+        a, b = place[self.starts], place[self.ends]
         with np.errstate(over="ignore"):
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(np.where(letter, _BYTE_CODES[data] * _powers("up", len(data) + 1)[place[:-1]], 0), out=sums[1:])
-            raw = (sums[self.ends] - sums[self.starts]) * _powers("down", len(data) + 1)[place[self.starts]]
-            return mix(raw ^ (place[self.ends] - place[self.starts]).astype(np.uint64))
+            sums = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(_BYTE_CODES[codes] * _powers("up", len(codes)), out=sums[1:])
+            down = _powers("down", len(codes) + 1)[a]
+            out = [mix(((sums[b] - sums[a]) * down) ^ (b - a).astype(np.uint64))]
+            for k in prefixes:
+                stop = np.minimum(a + k, len(codes))
+                out.append(np.where(b - a > k, mix(((sums[stop] - sums[a]) * down) ^ np.uint64(k << 40)), np.uint64(0)))
+        return out
 
     def sentence_of(self) -> np.ndarray:
         """Sentence (0-based in the piece) of each word.  A sentence ends after
