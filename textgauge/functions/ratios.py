@@ -13,10 +13,6 @@ def ratio(num, den) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(num.cast("double") / F.nullif(den, F.lit(0)).cast("double"))
 
 
-def harmonic(p: Column, r: Column) -> Column:
-    return F.when(p + r == 0, F.lit(0.0)).otherwise(2.0 * p * r / F.nullif(p + r, F.lit(0.0)))
-
-
 def f1(tp, fp, fn) -> Column:
     """F1 of one class from its hits, false alarms and misses."""
     tp, fp, fn = (F.col(c) if isinstance(c, str) else c for c in (tp, fp, fn))

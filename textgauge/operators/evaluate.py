@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ratios import f1, ratio
+from .roc import WEIGHT, area_under_roc
 
 CELLS = ["TP", "FP", "FN", "TN"]
 
@@ -13,15 +14,33 @@ CELLS = ["TP", "FP", "FN", "TN"]
 def confusion(pred: DataFrame, keys: list[str]) -> DataFrame:
     """TP/FP/FN/TN per group; four counters combined on the map side, so the
     shuffle carries one row per task and group."""
-    hit, said = F.col("label") == 1, F.col("prediction") == 1.0
+    hit, said = _known("label") == 1, _known("prediction") == 1.0
+    n = F.col(WEIGHT) if WEIGHT in pred.columns else F.lit(1)
+
+    def total(cell: Column) -> Column:
+        return F.sum(F.when(cell, n).otherwise(0))
+
     return pred.groupBy(*keys).agg(
-        F.count_if(hit & said).alias("TP"),
-        F.count_if(~hit & said).alias("FP"),
-        F.count_if(hit & ~said).alias("FN"),
-        F.count_if(~hit & ~said).alias("TN"),
+        total(hit & said).alias("TP"),
+        total(~hit & said).alias("FP"),
+        total(hit & ~said).alias("FN"),
+        total(~hit & ~said).alias("TN"),
     )
 
 
+def _known(column: str) -> Column:
+    """A row without label or prediction belongs to no cell; it fails the job
+    instead of vanishing from the totals."""
+    missing = F.raise_error(F.lit(f"null {column} in a prediction table")).cast("double")
+    return F.coalesce(F.col(column).cast("double"), missing)
+
+
+def counted(pred: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per distinct ``(keys, label, prediction, score)``: all that cells
+    and ROC need, so that the predictions are computed once for both."""
+    return pred.groupBy(*keys, "label", "prediction", "score").agg(F.count("*").alias(WEIGHT))
+
+
 def metric_columns() -> dict[str, Column]:
     """Weighted metrics average the two classes by their size; the positive
     metrics look at class 1 only.  The two families are named apart."""
@@ -55,9 +74,8 @@ def classification_metrics(pred: DataFrame, keys: list[str], digits: int | None
 
 def evaluate(pred: DataFrame, keys: list[str]) -> DataFrame:
     """Cells, metrics and exact ROC area per group."""
-    from .roc import area_under_roc
-
-    return classification_metrics(pred, keys).join(area_under_roc(pred, keys), keys)
+    once = counted(pred, keys)
+    return classification_metrics(once, keys).join(area_under_roc(once, keys), keys)
 
 
 def fold_summary(per_fold: DataFrame, key: str = "model") -> DataFrame:

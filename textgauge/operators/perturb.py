@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import bucket, uniform
+from ..sources.scratch import materialise
 from ..sources.tables import CLASSES
 from .ranking import grouped_rank, with_exact_cuts
 
@@ -70,9 +71,10 @@ def cross_contaminate(df: DataFrame, rate: float = NOISE_RATE, seed=NOISE_SEED,
 
     The i-th chosen row of a class gets the i-th donor of the other class
     (donors repeat if there are too few).  Only ids and ranks take part in
-    the pairing; texts travel for the chosen rows and their donors alone.
+    the pairing, which works on a written table of ids; the table of texts is
+    read twice, for the donors and for the rows themselves.
     """
-    ids = df.select(id_col, "label").where(F.col("label").isin(list(classes)))
+    ids = materialise(df.select(id_col, "label").where(F.col("label").isin(list(classes))), "noise-ids")
     chosen_rank = grouped_rank(ids, ["label"], seed, id_col, count_col="_n")
     n_text = F.floor(F.floor(F.col("_n") * rate) / 2)
     chosen = chosen_rank.where(F.col("rank") <= n_text).select(
@@ -86,7 +88,7 @@ def cross_contaminate(df: DataFrame, rate: float = NOISE_RATE, seed=NOISE_SEED,
     ).select(id_col, "_donor_label", (F.col("_i") % F.col("_donors") + 1).alias("_slot"))
     offered = donors.join(F.broadcast(asked), "label").where(F.col("rank") <= F.col("_asked")).select(
         F.col("label").alias("_donor_label"), F.col("rank").alias("_slot"), F.col(id_col).alias("_donor_id"))
-    pairs = slots.join(offered, ["_donor_label", "_slot"]).select(id_col, "_donor_id")
+    pairs = materialise(slots.join(offered, ["_donor_label", "_slot"]).select(id_col, "_donor_id"), "noise-pairs")
     texts = df.select(F.col(id_col).alias("_donor_id"), F.col(text_col).alias("_donor_text"))
     donated = pairs.join(texts, "_donor_id").select(id_col, "_donor_id", "_donor_text")
 
@@ -112,8 +114,7 @@ def insert_noise(df: DataFrame, rate: float = 0.45, seed="noise", id_col: str =
     ``rate`` of the rows.  A boundary is a full stop followed by a blank."""
     n = len(NOISE_PHRASES)
     phrases = F.array(*[F.lit(p.capitalize() + ".") for p in NOISE_PHRASES])
-    mark = "\u0001"
-    staged = df.withColumn("_parts", F.split(F.replace(F.col(text_col), F.lit(". "), F.lit("." + mark)), mark)).withColumns({
+    staged = df.withColumn("_parts", F.split(F.col(text_col), r"(?<=\.) ")).withColumns({
         "_first": bucket(f"{seed}-first", n, id_col).cast("int"),
         "_step": (bucket(f"{seed}-step", n - 1, id_col) + 1).cast("int"),
         "_two": bucket(f"{seed}-count", 2, id_col) == 1,

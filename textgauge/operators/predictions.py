@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import with_text_stats
-from ..sources.tables import labels, spread, table, texts
+from ..sources.tables import labels, table, texts
 
 
 def wide_predictions(df: DataFrame, rules: dict[str, tuple[Column, Column]], row_id: Column, label: Column,
@@ -54,7 +54,7 @@ def document_rules(spark, sf_dir) -> DataFrame:
 def lineitem_rules(spark, sf_dir) -> DataFrame:
     """Three price rules on the order lines, wide: a large prediction table."""
     cols = ["l_orderkey", "l_linenumber", "l_extendedprice", "l_discount", "l_returnflag"]
-    li = spread(table(spark, sf_dir, "lineitem", cols), "l_orderkey")
+    li = table(spark, sf_dir, "lineitem", cols)
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     rules = {
         "price_rule": (F.col("l_extendedprice"), F.col("l_extendedprice") >= 50000),

@@ -9,6 +9,7 @@ from ..functions.text import MIN_CHARS, STAT_COLUMNS, cleaned
 from ..sources.tables import LABEL_NAMES
 from .dedup import drop_duplicate_texts
 
+# Defaults of missing cells and the limit of a balanced table.
 DEFAULTS = {"title": "Unknown", "subject": "general", "date": "unknown", "source": "unknown"}
 IMBALANCE_LIMIT = 1.5
 

@@ -10,22 +10,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import HASH_BITS, hash32
 
-BUCKET_BITS = 10
+# Buckets per shuffle partition, so that a task gets several small ones.
+BUCKETS_PER_PARTITION = 4
+
+
+def bucket_bits(spark: SparkSession) -> int:
+    """Bits of the bucket number: results do not depend on it, the size of a
+    bucket does, so it follows the session's shuffle partitions."""
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(4, (BUCKETS_PER_PARTITION * partitions - 1).bit_length())
 
 
 def _bucket(hash_col: str, bits: int) -> Column:
     return F.shiftright(F.col(hash_col), HASH_BITS - bits)
 
 
-def grouped_rank(df: DataFrame, group: list[str], seed, id_col: str = "doc_id", bits: int = BUCKET_BITS,
+def grouped_rank(df: DataFrame, group: list[str], seed, id_col: str = "doc_id", bits: int | None = None,
                  rank_col: str = "rank", count_col: str | None = None) -> DataFrame:
     """Append the 1-based rank of each row by ``(hash, id)`` within ``group``
     (and optionally the group's row count)."""
+    bits = bucket_bits(df.sparkSession) if bits is None else bits
     keyed = df.withColumn("_h", hash32(seed, id_col)).withColumn("_b", _bucket("_h", bits))
     by_bucket = [*group, "_b"]
     totals = keyed.groupBy(*by_bucket).agg(F.count("*").alias("_n"))
@@ -46,13 +55,14 @@ def grouped_rank(df: DataFrame, group: list[str], seed, id_col: str = "doc_id",
 
 
 def exact_cuts(df: DataFrame, group: str, classes, seed, targets: dict[str, Callable[[Column], Column]],
-               id_col: str = "doc_id", bits: int = BUCKET_BITS) -> DataFrame:
+               id_col: str = "doc_id", bits: int | None = None) -> DataFrame:
     """One row per class with, for each target, the ``(hash, id)`` of the
     class's k-th row, where ``k = target(class size)``.
 
     Only the buckets holding a cut are ranked, about one row in ``2**bits``.
     The result has ``len(classes)`` rows, small enough to broadcast.
     """
+    bits = bucket_bits(df.sparkSession) if bits is None else bits
     keyed = (
         df.where(F.col(group).isin(list(classes)))
         .select(group, id_col, hash32(seed, id_col).alias("_h"))
@@ -85,7 +95,7 @@ def exact_cuts(df: DataFrame, group: str, classes, seed, targets: dict[str, Call
 
 
 def with_exact_cuts(df: DataFrame, group: str, classes, seed, targets, id_col: str = "doc_id",
-                    bits: int = BUCKET_BITS) -> tuple[DataFrame, dict[str, Column]]:
+                    bits: int | None = None) -> tuple[DataFrame, dict[str, Column]]:
     """Attach the cuts and return, per target, the condition "this row is
     among the first k of its class".  The table itself is not shuffled."""
     cuts = exact_cuts(df, group, classes, seed, targets, id_col, bits)

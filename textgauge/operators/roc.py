@@ -6,6 +6,9 @@
    after a lost executor gives the same buckets.
 3. Sum each bucket, prefix-sum the few bucket totals, and run the cumulative
    window inside the buckets only.
+
+The number of buckets follows the session's shuffle partitions; results do not
+depend on it.
 """
 
 from __future__ import annotations
@@ -13,13 +16,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITTER_BITS = 8
+from .ranking import bucket_bits
+
+WEIGHT = "rows"
 
 
 def score_groups(pred: DataFrame, keys: list[str]) -> DataFrame:
+    """Positives and negatives per score; a row counts ``rows`` times if the
+    table has that column (``evaluate.counted``)."""
+    n = F.col(WEIGHT) if WEIGHT in pred.columns else F.lit(1)
     return pred.groupBy(*keys, "score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"),
-        F.count_if(F.col("label") != 1).alias("neg"),
+        F.sum(F.when(F.col("label") == 1, n).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col("label") != 1, n).otherwise(0)).alias("neg"),
     )
 
 
@@ -48,15 +56,22 @@ def _with_bucket(df: DataFrame, bits: int) -> DataFrame:
     return df.drop("_cuts")
 
 
-def cumulative_counts(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> DataFrame:
+def _bucketed(pred: DataFrame, keys: list[str], bits: int | None) -> DataFrame:
+    """Score groups with their bucket ``_b``, laid out by it."""
+    bits = bucket_bits(pred.sparkSession) if bits is None else bits
+    groups = score_groups(pred, keys)
+    # One row per group of the report, whatever the number of scores.
+    cuts = F.broadcast(_splitters(groups, keys, (1 << bits) - 1))
+    return _with_bucket(groups.join(cuts, keys), bits).repartition(*keys, "_b")
+
+
+def cumulative_counts(pred: DataFrame, keys: list[str], bits: int | None = None) -> DataFrame:
     """Per distinct score: ``pos``/``neg`` at it, ``cum_pos``/``cum_neg`` at or
     above it, ``all_pos``/``all_neg`` of the group.  Scores are divided into
     ``2 ** bits`` buckets."""
-    groups = score_groups(pred, keys)
     by_bucket = [*keys, "_b"]
-    cuts = _splitters(groups, keys, (1 << bits) - 1)
     # Both uses below start from this one shuffle.
-    bucketed = _with_bucket(groups.join(cuts, keys), bits).repartition(*by_bucket)
+    bucketed = _bucketed(pred, keys, bits)
 
     totals = bucketed.groupBy(*by_bucket).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
     # At most ``2 ** bits`` rows per group reach these windows.
@@ -80,7 +95,7 @@ def cumulative_counts(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BIT
     )
 
 
-def roc_curve(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> DataFrame:
+def roc_curve(pred: DataFrame, keys: list[str], bits: int | None = None) -> DataFrame:
     """A point per distinct threshold plus the origin (threshold null).
     Rates are null where a class is missing."""
     c = cumulative_counts(pred, keys, bits)
@@ -93,10 +108,20 @@ def roc_curve(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> Da
     return c.select(*keys, F.inline(points))
 
 
-def area_under_roc(pred: DataFrame, keys: list[str], bits: int = SPLITTER_BITS) -> DataFrame:
+def area_under_roc(pred: DataFrame, keys: list[str], bits: int | None = None) -> DataFrame:
     """Trapezoid area: each score adds its negatives times the positives above
-    it, half of the positives tied with it included."""
-    c = cumulative_counts(pred, keys, bits)
-    doubled = F.sum(F.col("neg").cast("double") * (2 * F.col("cum_pos") - F.col("pos")).cast("double"))
-    pairs = F.max("all_pos").cast("double") * F.max("all_neg").cast("double")
-    return c.groupBy(*keys).agg(F.try_divide(doubled, 2.0 * pairs).alias("auc"))
+    it, half of the positives tied with it included.
+
+    A bucket gives its inner area and its totals; only these few rows are put
+    in order, so no offset is joined to the scores.
+    """
+    by_bucket = [*keys, "_b"]
+    inside = Window.partitionBy(*by_bucket).orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = _bucketed(pred, keys, bits).withColumn("_cp", F.sum("pos").over(inside))
+    inner = F.sum(F.col("neg").cast("double") * (2 * F.col("_cp") - F.col("pos")).cast("double"))
+    buckets = running.groupBy(*by_bucket).agg(inner.alias("_inner"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = buckets.withColumn("_above", F.coalesce(F.sum("_p").over(before), F.lit(0)))
+    doubled = F.sum(F.col("_inner") + 2.0 * F.col("_n").cast("double") * F.col("_above").cast("double"))
+    pairs = F.sum("_p").cast("double") * F.sum("_n").cast("double")
+    return buckets.groupBy(*keys).agg(F.try_divide(doubled, 2.0 * pairs).alias("auc"))

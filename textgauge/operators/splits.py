@@ -37,7 +37,8 @@ def stratified_split(df: DataFrame, seed=SEED, weights=SPLIT_WEIGHTS, id_col: st
 
 def stratified_split_exact(df: DataFrame, seed=SEED, weights=SPLIT_WEIGHTS, id_col: str = "doc_id",
                            label_col: str = "label", classes=CLASSES) -> DataFrame:
-    """Every class is divided by exact (rounded) counts."""
+    """Every class is divided by exact (rounded) counts; a row of another or no
+    class fails the job."""
     total = sum(weights)
 
     def first(share: int):
@@ -45,7 +46,9 @@ def stratified_split_exact(df: DataFrame, seed=SEED, weights=SPLIT_WEIGHTS, id_c
 
     targets = {"train": first(weights[0]), "validation": first(weights[0] + weights[1])}
     joined, within = with_exact_cuts(df, label_col, classes, seed, targets, id_col)
-    split = F.when(within["train"], "train").when(within["validation"], "validation").otherwise("test")
+    unknown = ~F.coalesce(F.col(label_col).isin(list(classes)), F.lit(False))
+    split = F.when(unknown, F.raise_error(F.lit("a label outside the classes of the split")).cast("string")).when(
+        within["train"], "train").when(within["validation"], "validation").otherwise("test")
     return joined.select(*df.columns, split.alias("split"))
 
 

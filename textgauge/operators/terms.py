@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import bucket
 from ..functions.text import content_words
 
-SALT = 32
 MIN_DOC_FREQ = 5
 
 
@@ -58,20 +57,13 @@ def count_scalar(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def salted_join(big: DataFrame, small: DataFrame, key: str, spread_by: str, salt: int = SALT, how: str = "inner") -> DataFrame:
-    """Equi-join on a skewed key: rows of ``big`` with the same key go to
-    ``salt`` different tasks by their ``spread_by`` hash, ``small`` (unique in
-    ``key``) is repeated once per salt value."""
-    b = big.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salt)).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return b.join(s, [key, "_salt"], how).drop("_salt")
-
-
 def tfidf(docs: DataFrame, n_docs: Column, min_doc_freq: int = MIN_DOC_FREQ, id_col: str = "doc_id") -> DataFrame:
     """TF-IDF per document and term, zero weights left out as in a sparse
     vector."""
     weights = idf_weights(document_frequency(docs), n_docs, min_doc_freq).where(F.col("idf") != 0).select("term", "idf")
-    joined = salted_join(term_counts(docs.select(id_col, "words")), weights, "term", id_col)
+    # Frequent terms make large partitions on the left side only, which adaptive
+    # execution splits.
+    joined = term_counts(docs.select(id_col, "words")).join(weights, "term")
     return joined.select(id_col, "term", "tf", "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
@@ -131,7 +123,7 @@ def naive_bayes_predict(docs: DataFrame, classes: DataFrame, terms: DataFrame) -
     """Margin (log odds of class 1) and prediction per document."""
     counts = term_counts(docs.select("doc_id", "words"))
     gain = terms.select("term", (F.col("theta1") - F.col("theta0")).alias("gain"))
-    margins = salted_join(counts, gain, "term", "doc_id").groupBy("doc_id").agg(F.sum(F.col("tf") * F.col("gain")).alias("_m"))
+    margins = counts.join(gain, "term").groupBy("doc_id").agg(F.sum(F.col("tf") * F.col("gain")).alias("_m"))
     prior = classes.agg(F.sum(F.when(F.col("label") == 1, F.col("log_prior")).otherwise(-F.col("log_prior")))).scalar()
     scored = docs.select("doc_id", "label").join(margins, "doc_id", "left")
     margin = prior + F.coalesce("_m", F.lit(0.0))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import time
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     LinearSVC,
     LinearSVCModel,
@@ -31,6 +32,7 @@ MODEL_CLASSES = {
 }
 
 
+# The settings and grids below.
 def estimator_and_grid(name: str):
     """The classifier with its fixed settings and its parameter grid."""
     if name == "LogisticRegression":
@@ -50,30 +52,48 @@ def estimator_and_grid(name: str):
     return e, g.build()
 
 
-# Grid point of a fit without a search; the linear SVM takes the stronger
-# regularisation, the others their first point.
-DEFAULT_POINT = {"LinearSVC": 1}
 PARALLELISM = 8
 
 
-def fit(name: str, train: DataFrame, grid_index: int | None = None):
+def fit(name: str, train: DataFrame, grid_index: int = 0):
     """Fit one grid point."""
     estimator, grid = estimator_and_grid(name)
-    return estimator.copy(grid[DEFAULT_POINT.get(name, 0) if grid_index is None else grid_index]).fit(train)
+    return estimator.copy(grid[grid_index]).fit(train)
 
 
-def fit_all(names: list[str], train: DataFrame, parallelism: int = PARALLELISM) -> dict:
-    """Fit several models on the same cached table.  An iterative fit is a
-    chain of short jobs, so running the fits side by side fills the cluster."""
+@dataclass
+class Searched:
+    """A cross-validated search: ``cv.bestModel`` is the best grid point fitted
+    again on all training rows; ``seconds`` is what search and fit took."""
+
+    name: str
+    cv: CrossValidatorModel
+    seconds: float
+
+    @property
+    def model(self):
+        return self.cv.bestModel
+
+
+def search_all(names: list[str], train: DataFrame, folds: int, keep_folds: bool = False) -> list[Searched]:
+    """Search every model on the same cached table, one after the other; the
+    fits of a search run side by side."""
     train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            run = inheritable_thread_target(train.sparkSession)(lambda n: fit(n, train))
-            return dict(zip(names, pool.map(run, names)))
+        out = []
+        for name in names:
+            begin = time.perf_counter()
+            cv = cross_validate(name, train, folds, keep_folds=keep_folds)
+            out.append(Searched(name, cv, time.perf_counter() - begin))
+        return out
     finally:
         train.unpersist()
 
 
+def fit_times(spark, searched: list[Searched]) -> DataFrame:
+    return spark.createDataFrame([(s.name, float(s.seconds)) for s in searched], "model string, train_time_s double")
+
+
 def positive_score(scored: DataFrame) -> Column:
     """Probability of class 1, or the raw margin where a model has none."""
     col = "probability" if "probability" in scored.columns else "rawPrediction"
@@ -93,21 +113,19 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def cross_validate(name: str, train: DataFrame, folds: int, fold_col: str = "fold", parallelism: int = PARALLELISM) -> CrossValidatorModel:
+def cross_validate(name: str, train: DataFrame, folds: int, fold_col: str = "fold", parallelism: int = PARALLELISM,
+                   keep_folds: bool = False) -> CrossValidatorModel:
     """Grid search by k-fold cross-validation on the area under the ROC curve.
 
     The folds are the integer column ``fold_col``, so they are the same on
     every run and every partitioning.  ``numBins=0`` makes the area exact.
+    ``keep_folds`` keeps every fold's models on the driver.
     """
     estimator, grid = estimator_and_grid(name)
     evaluator = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, numFolds=folds,
-                        foldCol=fold_col, parallelism=parallelism, collectSubModels=True)
-    train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cv.fit(train)
-    finally:
-        train.unpersist()
+                        foldCol=fold_col, parallelism=parallelism, collectSubModels=keep_folds)
+    return cv.fit(train)
 
 
 def grid_table(spark, name: str, cv: CrossValidatorModel) -> DataFrame:

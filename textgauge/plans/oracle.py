@@ -1,7 +1,7 @@
 """SQL (DuckDB dialect) that computes the registered queries independently.
 
-Queries without an entry train models or depend on Spark's murmur3 hashing;
-they are covered by invariants in the tests.
+Queries without an entry train MLlib models or depend on Spark's murmur3
+hashing; ``tests/test_models.py`` holds their results against invariants.
 """
 
 from __future__ import annotations
@@ -134,14 +134,18 @@ def _roc(source: str) -> str:
   UNION ALL SELECT DISTINCT model, CAST(NULL AS DOUBLE), 0.0::DOUBLE, 0.0::DOUBLE FROM c"""
 
 
-def _mcnemar_pairs(source: str) -> str:
+RULE_PAIRS = (("len_rule", "word_rule"), ("len_rule", "caps_rule"), ("word_rule", "caps_rule"))
+
+
+def _mcnemar_pairs(source: str, pairs=RULE_PAIRS) -> str:
+    wanted = ", ".join(f"('{a}', '{b}')" for a, b in pairs)
     return f"""
   WITH p AS ({source})
   SELECT a.model AS model_1, b.model AS model_2,
     count(*) FILTER (a.prediction = a.label AND b.prediction <> b.label) AS b_correct1_wrong2,
     count(*) FILTER (a.prediction <> a.label AND b.prediction = b.label) AS c_wrong1_correct2
   FROM p a JOIN p b USING (row_id)
-  WHERE (a.model, b.model) IN (('len_rule', 'word_rule'), ('len_rule', 'caps_rule'), ('word_rule', 'caps_rule'))
+  WHERE (a.model, b.model) IN ({wanted})
   GROUP BY 1, 2"""
 
 
@@ -165,13 +169,13 @@ def _mcnemar_test(pairs: str) -> str:
          chi2 > 3.841458820694124 AS significant_005 FROM q"""
 
 
-def _bootstrap(replicates: int) -> str:
+def _bootstrap(replicates: int, source: str = DOC_PREDICTIONS) -> str:
     weight = "CASE " + " ".join(f"WHEN u < {c} THEN {k}" for k, c in enumerate(POISSON1_CDF_16BIT)) + f" ELSE {len(POISSON1_CDF_16BIT)} END"
     cols = []
     for n in ("f1", "acc"):
         cols.append(f"round(avg({n}), 6) AS {n}_mean, round(quantile_cont({n}, 0.025), 6) AS {n}_ci_lower, round(quantile_cont({n}, 0.975), 6) AS {n}_ci_upper")
     return f"""
-  WITH p AS ({DOC_PREDICTIONS}),
+  WITH p AS ({source}),
   u AS (SELECT p.*, r.replicate, ('0x' || substr(md5(concat_ws(':', '42', row_id, replicate // 8)), (1 + 4 * (replicate % 8))::INT, 4))::BIGINT AS u
         FROM p, range(0, {replicates}) r(replicate)),
   w AS (SELECT *, {weight} AS w FROM u),
@@ -218,7 +222,6 @@ NOISE_BUDGET = f"""
   SELECT doc_id, label, row_number() OVER (PARTITION BY label ORDER BY {h32(42, 'doc_id')}, doc_id) AS r,
          count(*) OVER (PARTITION BY label) AS n FROM ({IDS})"""
 
-MARK = "chr(1)"
 PHRASES = "[" + _quoted(p.capitalize() + "." for p in NOISE_PHRASES) + "]"
 NEUTRAL = "[" + _quoted(NEUTRAL_SENTENCES) + "]"
 
@@ -260,7 +263,7 @@ ORACLE = {
     "split_subtract": f"""
   WITH ids AS ({IDS}) SELECT * FROM ids EXCEPT SELECT * FROM ids WHERE {h32(42, 'label', 'doc_id')} % 10000 < 7000""",
     "distinct_subjects": "SELECT count(DISTINCT lang) AS distinct_values FROM documents",
-    "union_classes": f"SELECT doc_id, lang, source, label, CASE label WHEN 0 THEN 'Reliable' ELSE 'Unreliable' END AS label_name FROM ({LABELLED}) WHERE label IN (0, 1)",
+    "union_classes": f"SELECT doc_id, lang, source, label, CASE label WHEN 0 THEN 'Reliable' WHEN 1 THEN 'Unreliable' ELSE 'Unknown' END AS label_name FROM ({LABELLED})",
     "seeded_shuffle": f"SELECT doc_id, row_number() OVER (ORDER BY {h32(42, 'doc_id')}, doc_id) AS position FROM documents",
     "limit_sample": f"SELECT doc_id, lang FROM documents ORDER BY {h32(42, 'doc_id')}, doc_id LIMIT 500",
     # audits and aggregates
@@ -380,7 +383,7 @@ ORACLE = {
   SELECT doc_id, CASE WHEN {unif('neutral', 'doc_id')} < 0.25 THEN text || ' ' || {NEUTRAL}[{h32('neutral-pick', 'doc_id')} % {len(NEUTRAL_SENTENCES)} + 1] ELSE text END AS text
   FROM documents""",
     "insert_noise": f"""
-  WITH p AS (SELECT doc_id, text, string_split(replace(text, '. ', '.' || {MARK}), {MARK}) AS parts, {PHRASES} AS ph,
+  WITH p AS (SELECT doc_id, text, list_transform(string_split(text, '. '), lambda x, i: CASE WHEN i < len(string_split(text, '. ')) THEN x || '.' ELSE x END) AS parts, {PHRASES} AS ph,
       {h32('noise-first', 'doc_id')} % 15 AS a, {h32('noise-step', 'doc_id')} % 14 + 1 AS s,
       {h32('noise-count', 'doc_id')} % 2 = 1 AS two, {h32('noise-at', 'doc_id')} % 1073741824 AS q, {unif('noise', 'doc_id')} < 0.45 AS hit FROM documents),
   x AS (SELECT *, q % (len(parts) + 1) AS pos FROM p)
@@ -415,7 +418,7 @@ ORACLE["cv_stability"] = f"""
 
 _RULE_SPLITS = f"SELECT *, {split_of('row_id')} AS split FROM ({DOC_PREDICTIONS})"
 _SPLIT_METRICS = _rounded_metrics(f"SELECT * FROM ({_RULE_SPLITS}) WHERE split <> 'train'", "split, model")
-ORACLE["metrics_by_split"] = f"SELECT *, CASE split WHEN 'validation' THEN 0.0::DOUBLE END AS train_time_s FROM ({_SPLIT_METRICS})"
+ORACLE["metrics_by_split"] = _SPLIT_METRICS
 ORACLE["compare_runs"] = f"""
   WITH m AS ({_SPLIT_METRICS}), t AS (SELECT profile, avg(value) AS s FROM ({RUN_LOG}) GROUP BY profile),
   n(a, b, p) AS (VALUES ('len_rule', 'base_len', 'view'), ('word_rule', 'base_word', 'click'), ('caps_rule', 'base_caps', 'purchase'))
@@ -424,5 +427,59 @@ ORACLE["compare_runs"] = f"""
   FROM n JOIN m v ON v.model = n.a AND v.split = 'validation' JOIN m x ON x.model = n.a AND x.split = 'test' JOIN t ON t.profile = n.p"""
 
 
+# Naive Bayes in closed form, fitted on some labelled documents and asked on
+# others; the margin is rounded so that texts of the same words tie.
+NB_SMOOTHING = {"nb_half": 0.5, "nb_one": 1.0}
+
+
+def _nb(name: str, a: float, within: str, asked: str) -> str:
+    return f"""
+  SELECT row_id, '{name}' AS model, label, score, (score > 0)::INT AS prediction FROM (
+    WITH docs AS (SELECT t.doc_id, t.words, l.quality AS label, {split_of('t.doc_id')} AS split, ({h32('fold', 't.doc_id')} % 5)::INT AS fold
+                  FROM ({TOKENS}) t JOIN labels l USING (doc_id)),
+    tf AS (SELECT doc_id, label, term, count(*) AS tf, any_value(split) AS split, any_value(fold) AS fold
+           FROM (SELECT doc_id, label, split, fold, unnest(words) AS term FROM docs) GROUP BY 1, 2, 3),
+    t AS (SELECT term, sum(tf * (1 - label)) AS n0, sum(tf * label) AS n1 FROM tf WHERE {within} GROUP BY term),
+    s AS (SELECT sum(n0) AS s0, sum(n1) AS s1, count(*) AS d FROM t),
+    gain AS (SELECT term, ln((n1 + {a}) / (s1 + {a} * d)) - ln((n0 + {a}) / (s0 + {a} * d)) AS g FROM t, s),
+    prior AS (SELECT ln((sum(label) + {a}) / (count(*) + 2 * {a})) - ln((sum(1 - label) + {a}) / (count(*) + 2 * {a})) AS odds FROM docs WHERE {within}),
+    m AS (SELECT doc_id, sum(tf * g) AS m FROM tf JOIN gain USING (term) WHERE {asked} GROUP BY doc_id)
+    SELECT doc_id AS row_id, label, round(odds + coalesce(m, 0), 6) AS score FROM docs LEFT JOIN m USING (doc_id), prior WHERE {asked})"""
+
+
+_NB_TEST = " UNION ALL ".join(_nb(n, a, "split = 'train'", "split = 'test'") for n, a in NB_SMOOTHING.items())
+ORACLE["nb_confusion"] = _rounded_metrics(_NB_TEST, "model")
+ORACLE["nb_roc_curve"] = _roc(_NB_TEST)
+ORACLE["nb_mcnemar"] = _mcnemar_test(_mcnemar_pairs(_NB_TEST, [tuple(NB_SMOOTHING)]))
+ORACLE["nb_bootstrap"] = _bootstrap(1000, _NB_TEST)
+
+
+def _nb_fold(k: int) -> str:
+    held_out = f"split = 'train' AND fold = {k}"
+    others = f"split = 'train' AND fold <> {k}"
+    return " UNION ALL ".join(f"SELECT *, {k} AS fold FROM ({_nb(n, a, others, held_out)})" for n, a in NB_SMOOTHING.items())
+
+
+ORACLE["nb_cv_grid"] = f"""
+  WITH g AS (SELECT model, round(avg(auc), 6) AS avg_auc, round(stddev_pop(auc), 6) AS std_auc
+             FROM ({_auc(" UNION ALL ".join(_nb_fold(k) for k in range(5)), 'model, fold')}) GROUP BY model)
+  SELECT *, model = (SELECT model FROM g ORDER BY avg_auc DESC, model DESC LIMIT 1) AS best FROM g"""
+
+# What must hold of results that SQL cannot compute: rows, labels, bounds.
+_FEATURE_ROWS = f"SELECT doc_id, source, subject, label, {split_of('doc_id')} AS split FROM ({CLEAN_ARTICLES}) WHERE length({CLEAN}) >= 100"
+ORACLE["repartition_balance"] = "SELECT count(*)::BIGINT AS rows, 8::BIGINT AS partitions, true AS balanced FROM documents"
+ORACLE["feature_model_transform"] = f"SELECT doc_id, 0 AS differs FROM ({CLEAN_DOCS})"
+ORACLE["prediction_scores"] = f"""
+  SELECT doc_id AS row_id, model, label, true AS score_in_bounds, true AS is_class
+  FROM ({_FEATURE_ROWS}), (SELECT unnest(['NaiveBayes', 'LinearSVC']) AS model) WHERE split = 'validation'"""
+ORACLE["score_batch"] = f"""
+  SELECT doc_id AS row_id, source, subject, 'NaiveBayes' AS model, label, true AS score_in_bounds, true AS is_class
+  FROM ({_FEATURE_ROWS}) WHERE split = 'test'"""
+ORACLE["model_roundtrip"] = f"""
+  SELECT model, count(*) AS rows_compared, 0::BIGINT AS mismatches
+  FROM ({_FEATURE_ROWS}), (SELECT unnest(['LogisticRegression', 'LinearSVC', 'RandomForest', 'NaiveBayes']) AS model)
+  WHERE split = 'validation' GROUP BY model"""
+
+
 def oracle_queries() -> dict[str, str]:
     return dict(ORACLE)

@@ -6,7 +6,7 @@ six digits so that they can be compared with another engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,7 +125,10 @@ def report_export_roundtrip(spark, sf_dir):
 
 @query
 def repartition_balance(spark, sf_dir):
-    return sinks.partition_sizes(tables.documents(spark, sf_dir, ["doc_id"]), 8)
+    """Rows of the table, partitions with rows, and whether none holds more
+    than twice the mean, after a spread over eight partitions."""
+    sizes = sinks.partition_sizes(tables.documents(spark, sf_dir, ["doc_id"]), 8)
+    return sizes.agg(F.sum("rows").alias("rows"), F.count("*").alias("partitions"), (F.max("rows") <= 2 * F.avg("rows")).alias("balanced"))
 
 
 # --- projections ---------------------------------------------------------------
@@ -170,7 +173,12 @@ def text_stats_summary(spark, sf_dir):
 
 @query
 def clean_articles(spark, sf_dir):
-    return quality.clean_articles(tables.articles(spark, sf_dir))
+    """The kept ids are found from digests next to the scan, the labels join
+    numbers only, and a text moves once."""
+    docs = tables.documents(spark, sf_dir)
+    kept = docs.where(F.length("text") >= quality.MIN_CHARS).select("doc_id", F.sha2("text", 256).alias("digest"))
+    kept = kept.join(tables.labels(spark, sf_dir), "doc_id").groupBy("digest").agg(F.min_by("label", "doc_id").alias("label"), F.min("doc_id").alias("doc_id"))
+    return quality.fill_defaults(tables.as_articles(docs.join(kept.select("doc_id", "label"), "doc_id")))
 
 
 @query
@@ -194,6 +202,8 @@ def distinct_subjects(spark, sf_dir):
 def union_classes(spark, sf_dir):
     arts = tables.labelled_documents(spark, sf_dir, ["doc_id", "lang", "source"])
     by_class = {name: arts.where(F.col("label") == value) for value, name in tables.LABEL_NAMES.items()}
+    # Rows of another or no class are part of the union too.
+    by_class["Unknown"] = arts.where(~F.coalesce(F.col("label").isin(list(tables.LABEL_NAMES)), F.lit(False)))
     return reports.stack(by_class, "label_name")
 
 
@@ -405,8 +415,7 @@ def _run_log(spark, sf_dir):
 
 @query
 def metrics_by_split(spark, sf_dir):
-    timing = F.lit(0.0)
-    validation = _metrics_of_split(spark, sf_dir, "validation").withColumn("train_time_s", timing)
+    validation = _metrics_of_split(spark, sf_dir, "validation")
     test = _metrics_of_split(spark, sf_dir, "test")
     return rounded(reports.stack({"validation": validation, "test": test}, "split"))
 
@@ -592,9 +601,13 @@ def feature_model_transform(spark, sf_dir):
 
     docs = _raw_docs(spark, sf_dir)
     path = scratch.scratch_path(spark, "feature-model")
-    features.fit_features(docs).write().overwrite().save(path)
-    out = PipelineModel.load(path).transform(docs).select("doc_id", "tfidf_features")
-    return rounded(features.sparse_parts(out, "tfidf_features"))
+    model = features.fit_features(docs)
+    model.write().overwrite().save(path)
+    # Both models in one pass over the texts.
+    first = model.transform(docs).select("doc_id", "text", F.col("features").alias("kept"))
+    both = PipelineModel.load(path).transform(first)
+    same = F.unwrap_udt("features") == F.unwrap_udt("kept")
+    return both.select("doc_id", (~same).cast("int").alias("differs"))
 
 
 # --- MLlib: models ------------------------------------------------------------------------------
@@ -604,19 +617,27 @@ def _feature_splits(spark, sf_dir):
     back: training starts from files, not from a long lineage.  The cleaned
     articles are written too, since fitting and transforming both read them."""
     arts = scratch.materialise(quality.clean_articles(tables.articles(spark, sf_dir)), "articles")
-    arts = tables.spread(arts, "doc_id")
     model = features.fit_features(arts)
     table = features.feature_table(model, arts, ["doc_id", "source", "subject", "label"])
     table = splits.hash_split(table).withColumn("fold", bucket("fold", FOLDS, "doc_id").cast("int"))
     path = scratch.scratch_path(spark, "features")
-    sinks.write_splits(table, path)
+    # An optimiser reads the table hundreds of times: few files when small.
+    sinks.write_splits(table, path, balance=True)
     return tuple(sinks.read_split(spark, path, s) for s in splits.SPLIT_NAMES)
 
 
+def _searched(spark, sf_dir, names, keep_folds=False):
+    """The searched models and the three splits."""
+    training, validation, test = _feature_splits(spark, sf_dir)
+    return train.search_all(names, training, FOLDS, keep_folds), training, validation, test
+
+
 def _train_and_measure(spark, sf_dir, name):
-    training, _, test = _feature_splits(spark, sf_dir)
-    scored = train.predictions(train.fit(name, training), test, name)
-    return rounded(evaluate.evaluate(scored, ["model"]), 4)
+    """Test metrics of the best grid point, refitted on all training rows."""
+    found, _, _, test = _searched(spark, sf_dir, [name])
+    scored = train.predictions(found[0].model, test, name)
+    measured = evaluate.evaluate(scored, ["model"]).join(train.fit_times(spark, found), "model")
+    return rounded(measured, 4)
 
 
 @query
@@ -641,69 +662,149 @@ def train_nb(spark, sf_dir):
 
 @query
 def prediction_scores(spark, sf_dir):
-    """A model with probabilities next to one with margins only."""
-    training, validation, _ = _feature_splits(spark, sf_dir)
-    models = train.fit_all(["NaiveBayes", "LinearSVC"], training)
-    return rounded(train.union_all([train.predictions(m, validation, n) for n, m in models.items()]))
+    """A model with probabilities next to one with margins only: rows, labels
+    and whether score and prediction are of the right kind."""
+    found, _, validation, _ = _searched(spark, sf_dir, ["NaiveBayes", "LinearSVC"])
+    scored = train.union_all([train.predictions(s.model, validation, s.name) for s in found])
+    bounded = F.when(F.col("model") == "LinearSVC", ~F.isnan("score")).otherwise(F.col("score").between(0, 1))
+    return scored.select("row_id", "model", "label", bounded.alias("score_in_bounds"), F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 @query
 def score_batch(spark, sf_dir):
-    training, _, test = _feature_splits(spark, sf_dir)
-    model = train.fit("NaiveBayes", training)
-    return rounded(train.predictions(model, test, "NaiveBayes", keep=["source", "subject"]))
+    found, _, _, test = _searched(spark, sf_dir, ["NaiveBayes"])
+    scored = train.predictions(found[0].model, test, "NaiveBayes", keep=["source", "subject"])
+    return scored.select("row_id", "source", "subject", "model", "label", F.col("score").between(0, 1).alias("score_in_bounds"),
+                         F.col("prediction").isin(0.0, 1.0).alias("is_class"))
+
+
+def _test_predictions(spark, sf_dir):
+    """Test predictions of the four searched models, written once: a model is
+    asked once per row whatever reads its answers."""
+    found, _, _, test = _searched(spark, sf_dir, train.MODEL_NAMES)
+    return scratch.materialise(train.union_all([train.predictions(s.model, test, s.name) for s in found]), "predictions")
 
 
 @query
 def model_metrics(spark, sf_dir):
-    training, validation, test = _feature_splits(spark, sf_dir)
-    models = train.fit_all(train.MODEL_NAMES, training)
-    return rounded(evaluate.evaluate(train.union_all([
-        train.predictions(m, data, n).withColumn("split", F.lit(s))
-        for n, m in models.items() for s, data in (("validation", validation), ("test", test))
-    ]), ["split", "model"]), 4)
+    """Validation and test metrics of the searched models, with fit times."""
+    found, _, validation, test = _searched(spark, sf_dir, train.MODEL_NAMES)
+    scored = scratch.materialise(train.union_all([
+        train.predictions(s.model, data, s.name).withColumn("split", F.lit(split))
+        for s in found for split, data in (("validation", validation), ("test", test))]), "predictions")
+    return rounded(evaluate.evaluate(scored, ["split", "model"]).join(train.fit_times(spark, found), "model"), 4)
+
+
+@query
+def model_evaluation(spark, sf_dir):
+    """Cells, metrics, area and bootstrap intervals of the searched models on
+    the test split."""
+    scored = _test_predictions(spark, sf_dir)
+    intervals = significance.interval_report(significance.multinomial_replicates(scored))
+    return rounded(evaluate.evaluate(scored, ["model"]).join(intervals, "model"), 4)
+
+
+@query
+def model_roc_curve(spark, sf_dir):
+    return rounded(roc.roc_curve(_test_predictions(spark, sf_dir), ["model"]))
+
+
+@query
+def model_mcnemar(spark, sf_dir):
+    flags = significance.align(_test_predictions(spark, sf_dir), train.MODEL_NAMES)
+    return rounded(significance.mcnemar_test(significance.mcnemar_counts(flags, train.MODEL_NAMES)))
 
 
 @query
 def model_roundtrip(spark, sf_dir):
-    training, validation, _ = _feature_splits(spark, sf_dir)
+    """Searched models, saved and loaded, score the validation split alike."""
+    found, _, validation, _ = _searched(spark, sf_dir, train.MODEL_NAMES)
     before, after = [], []
-    for n, m in train.fit_all(train.MODEL_NAMES, training).items():
-        loaded = train.save_and_load(m, n, scratch.scratch_path(spark, n))
-        before.append(train.predictions(m, validation, n))
-        after.append(train.predictions(loaded, validation, n))
+    for s in found:
+        loaded = train.save_and_load(s.model, s.name, scratch.scratch_path(spark, s.name))
+        before.append(train.predictions(s.model, validation, s.name))
+        after.append(train.predictions(loaded, validation, s.name))
     return train.prediction_mismatches(train.union_all(before), train.union_all(after))
 
 
-def _cv_grid(spark, sf_dir, names):
-    training, _, _ = _feature_splits(spark, sf_dir)
-    return rounded(train.union_all([
-        train.grid_table(spark, n, train.cross_validate(n, training, FOLDS)) for n in names]))
+@query
+def cv_grid(spark, sf_dir):
+    found, _, _, _ = _searched(spark, sf_dir, train.MODEL_NAMES)
+    return rounded(train.union_all([train.grid_table(spark, s.name, s.cv) for s in found]))
 
 
 @query
-def cv_grid(spark, sf_dir):
-    return _cv_grid(spark, sf_dir, ["LogisticRegression", "NaiveBayes"])
+def cv_fold_metrics(spark, sf_dir):
+    found, training, validation, _ = _searched(spark, sf_dir, train.MODEL_NAMES, keep_folds=True)
+    scored = scratch.materialise(
+        train.union_all([train.fold_predictions(s.name, s.cv, training, validation) for s in found]), "fold-predictions")
+    per_fold = evaluate.evaluate(scored, ["scope", "model", "fold"])
+    return rounded(per_fold.select("scope", "model", "fold", "accuracy", "f1_weighted", "f1_positive", "auc"), 4)
+
+
+# --- naive Bayes through the evaluation operators ------------------------------------------------
+
+NB_SMOOTHING = {"nb_half": 0.5, "nb_one": 1.0}
+
+
+def _nb_predictions(words, within, scored, keys=()):
+    """Two naive Bayes models fitted on ``within``, asked on ``scored``.
+
+    The margin is rounded, so that texts of the same words tie whatever the
+    order of the sums.
+    """
+    out = []
+    for name, smoothing in NB_SMOOTHING.items():
+        classes, weights = terms.naive_bayes_terms(words.where(within), smoothing)
+        asked = terms.naive_bayes_predict(words.where(scored), classes, weights)
+        score = F.round("margin", 6)
+        out.append(asked.select(F.col("doc_id").alias("row_id"), F.lit(name).alias("model"), "label", score.alias("score"),
+                                (score > 0).cast("double").alias("prediction"), *keys))
+    return train.union_all(out)
+
+
+def _nb_test(spark, sf_dir):
+    words = splits.hash_split(_labelled_words(spark, sf_dir))
+    return scratch.materialise(_nb_predictions(words, F.col("split") == "train", F.col("split") == "test"), "nb-predictions")
 
 
 @query
-def cv_grid_svc(spark, sf_dir):
-    return _cv_grid(spark, sf_dir, ["LinearSVC"])
+def nb_confusion(spark, sf_dir):
+    return rounded(evaluate.classification_metrics(_nb_test(spark, sf_dir), ["model"]))
 
 
 @query
-def cv_grid_rf(spark, sf_dir):
-    return _cv_grid(spark, sf_dir, ["RandomForest"])
+def nb_roc_curve(spark, sf_dir):
+    return rounded(roc.roc_curve(_nb_test(spark, sf_dir), ["model"]))
 
 
 @query
-def cv_fold_metrics(spark, sf_dir):
-    training, validation, _ = _feature_splits(spark, sf_dir)
+def nb_mcnemar(spark, sf_dir):
+    models = list(NB_SMOOTHING)
+    return rounded(significance.mcnemar_test(significance.mcnemar_counts(significance.align(_nb_test(spark, sf_dir), models), models)))
+
+
+@query
+def nb_bootstrap(spark, sf_dir):
+    models = list(NB_SMOOTHING)
+    long = _nb_test(spark, sf_dir)
+    wide = long.groupBy("row_id", "label").agg(*[
+        F.max(F.when(F.col("model") == m, F.struct("score", "prediction"))).alias(m) for m in models])
+    return rounded(significance.interval_report(significance.poisson_replicates(wide, models)))
+
+
+@query
+def nb_cv_grid(spark, sf_dir):
+    """Grid search of the smoothing by five md5 folds: mean and deviation of
+    the area, and the best point."""
+    words = splits.hash_split(_labelled_words(spark, sf_dir)).where(F.col("split") == "train")
+    words = scratch.materialise(words.withColumn("fold", bucket("fold", FOLDS, "doc_id").cast("int")), "nb-folds")
     scored = train.union_all([
-        train.fold_predictions(n, train.cross_validate(n, training, FOLDS), training, validation)
-        for n in ("NaiveBayes", "RandomForest")])
-    per_fold = evaluate.evaluate(scored, ["scope", "model", "fold"])
-    return rounded(per_fold.select("scope", "model", "fold", "accuracy", "f1_weighted", "f1_positive", "auc"), 4)
+        _nb_predictions(words, F.col("fold") != k, F.col("fold") == k).withColumn("fold", F.lit(k)) for k in range(FOLDS)])
+    areas = roc.area_under_roc(scratch.materialise(scored, "nb-fold-predictions"), ["model", "fold"])
+    grid = rounded(areas.groupBy("model").agg(F.avg("auc").alias("avg_auc"), F.stddev_pop("auc").alias("std_auc")))
+    best = F.max(F.struct("avg_auc", F.col("model"))).over(Window.partitionBy(F.lit(0)))  # a row per grid point
+    return grid.withColumn("best", F.col("model") == best["model"])
 
 
 def _forest(spark, sf_dir):

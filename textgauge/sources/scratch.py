@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -21,9 +22,14 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="textgauge-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
+
+
+@lru_cache(maxsize=None)
+def _local_root(application: str) -> str:
+    """One temporary folder per local application; the session's settings are
+    left as they are."""
+    return tempfile.mkdtemp(prefix=f"textgauge-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -18,12 +18,16 @@ def write_partitioned(df: DataFrame, path: str, key: str) -> None:
     df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
-def write_splits(df: DataFrame, path: str, split_col: str = "split") -> None:
+def write_splits(df: DataFrame, path: str, split_col: str = "split", balance: bool = False) -> None:
     """All splits in one job, one directory per split.
 
-    No shuffle: each task writes its rows to the split directories directly.
+    Each task writes its rows to the split directories directly.  With
+    ``balance`` the rows are shuffled first, so that adaptive execution sizes
+    the files by bytes: a table that is read again many times, by every step
+    of an optimiser, should have few files when it is small.
     """
-    df.write.mode("overwrite").partitionBy(split_col).parquet(path)
+    out = df.hint("rebalance") if balance else df
+    out.write.mode("overwrite").partitionBy(split_col).parquet(path)
 
 
 def read_split(spark: SparkSession, path: str, name: str, split_col: str = "split") -> DataFrame:

@@ -19,17 +19,9 @@ def documents(spark, sf_dir, columns=("doc_id", "text", "lang", "source")) -> Da
     return table(spark, sf_dir, "documents", list(columns))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table that is read in fewer tasks than there are
-    cores (a file of one row group, say).  Tables with enough tasks, which is
-    every large one, are returned as they are and not shuffled."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def texts(spark, sf_dir, columns=("doc_id", "text")) -> DataFrame:
-    """Documents for CPU-heavy text work."""
-    return spread(documents(spark, sf_dir, columns), "doc_id")
+    """Documents for text work, split as the session's file settings say."""
+    return documents(spark, sf_dir, columns)
 
 
 def labels(spark, sf_dir, label_col: str = "quality") -> DataFrame:
@@ -48,8 +40,11 @@ def labelled_documents(spark, sf_dir, columns=("doc_id", "text", "lang", "source
 
 def articles(spark, sf_dir, label_col="quality") -> DataFrame:
     """Labelled documents in the article layout."""
-    d = labelled_documents(spark, sf_dir, label_col=label_col)
-    return d.select(
+    return as_articles(labelled_documents(spark, sf_dir, label_col=label_col))
+
+
+def as_articles(labelled: DataFrame) -> DataFrame:
+    return labelled.select(
         "doc_id",
         F.lit(None).cast("string").alias("title"),
         "text",
