@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialise
+
 SPACE = r"[\x20\x09-\x0D]+"
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -124,9 +126,10 @@ def _histogram(rows: DataFrame, edges: dict[str, list[float]]) -> dict[str, list
     feature and bin at most."""
     cells = []
     for name, cuts in edges.items():
-        bin_of = " + ".join(f"int({FEATURES[name]} > {c!r}D)" for c in cuts) or "0"
-        cells.append(F.struct(F.lit(name).alias("f"), F.expr(bin_of).alias("b")))
+        bin_of = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: c < F.col(name)))
+        cells.append(F.struct(F.lit(name).alias("f"), bin_of.alias("b")))
     counts = {name: [[0, 0] for _ in range(len(cuts) + 1)] for name, cuts in edges.items()}
+    rows = rows.select("bad", *[F.expr(e).alias(n) for n, e in FEATURES.items() if n != "n_words"], F.col("n_words").cast("double").alias("n_words"))
     long = rows.select("bad", F.explode(F.array(*cells)).alias("c")).groupBy("c.f", "c.b").agg(
         F.sum("bad").alias("bad"), F.count("*").alias("n"))
     for r in long.collect():
@@ -158,6 +161,7 @@ def learn(rows: DataFrame, learner: Learner = Learner()) -> DecisionList:
     empty."""
     rows = rows.where("label is not null").select(
         *COUNTS, F.when(F.col("label") == 0, 1).otherwise(0).alias("bad"), F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("third"))
+    rows = materialise(rows, "labelled-statistics")
     quantiles = [F.percentile_approx(F.expr(e), [i / learner.bins for i in range(1, learner.bins)], 10_000).alias(n) for n, e in FEATURES.items()]
     first = rows.agg(F.sum("bad").alias("bad"), F.count("*").alias("n"), *quantiles).first()
     if not first["n"] or first["bad"] in (0, first["n"]):
