@@ -28,7 +28,8 @@ UNITS = [
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&+=/\\_~^`@-–—“”‘’«»¿¡…"
 SPACE = r"[\x20\x09-\x0D]+"
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
-_NUMBER = r"[0-9]+(?:[.,:/][0-9]+)*"
+# A number does not begin inside a word: names such as "x12" stay words.
+_NUMBER = r"(?<![\p{L}\p{M}0-9])[0-9]+(?:[.,:/][0-9]+)*"
 _UNITS = "|".join("\\" + u if u == "$" else u for u in sorted(UNITS, key=len, reverse=True))
 # The unit is a word of its own or ends the word of the number.
 _QUANTITY = rf"{NUMBER}({SPACE})?(?:{_UNITS})(?![\p{{L}}0-9])"
