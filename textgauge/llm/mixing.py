@@ -38,7 +38,7 @@ class Mixture:
     shard: int = 4096
     seed: int = 17
     group: int = 2048
-    bucket_rows: int = 20_000
+    bucket_rows: int = 2_000
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -178,7 +178,9 @@ def mix_sources(docs: DataFrame, rule: Mixture = Mixture()) -> DataFrame:
     """
     sized = materialise(sizes(docs), "mix-sizes")
     goal = materialise(targets(sized, rule), "mix-targets")
-    uses = slots(goal, rule).groupBy("source", "block").agg(F.count("*").alias("times"))
+    # Made from a few rows of targets, this table looks small to the planner but
+    # grows with the corpus: it is merged, never broadcast.
+    uses = slots(goal, rule).groupBy("source", "block").agg(F.count("*").alias("times")).hint("merge")
     parts = segments(placed(sized.where("size > 0")), rule)
     met = _with_source(parts, uses, "block", how="left")
     met = met.select("doc_id", "source", "size", "start", (F.col("words") * F.col("times")).alias("part"))
@@ -204,4 +206,4 @@ def mixed_blocks(docs: DataFrame, rule: Mixture = Mixture()) -> DataFrame:
     piece = F.slice("all", (F.greatest("start", F.col("block") * rule.block) - F.col("start") + 1).cast("int"), F.col("words").cast("int"))
     blocks = cut.groupBy("source", "block").agg(F.array_join(F.flatten(F.transform(
         F.array_sort(F.collect_list(F.struct("start", piece.alias("w")))), lambda x: x["w"])), " ").alias("text"))
-    return _with_source(slots(goal, rule), blocks, "block").select("shard", "slot", "source", "text")
+    return _with_source(slots(goal, rule).hint("merge"), blocks, "block").select("shard", "slot", "source", "text")
