@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from ..sources.scratch import materialise
 from ..sources.tables import table
 from . import chat, compression, decontaminate, extract, mixing, near_dup, quality_rules, substring, toxicity, warc
+from .oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES = {}
-ORACLE = {}
 
 
 def query(fn):
