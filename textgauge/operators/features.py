@@ -78,6 +78,24 @@ def fit_features(df: DataFrame, **kwargs) -> PipelineModel:
     return feature_pipeline(**kwargs).fit(df)
 
 
+def prepared(df: DataFrame, input_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """Statistics and content words of every text that is long enough after
+    cleaning, in place of the text.  Written once, both fitting and
+    transforming read it, so no text is cleaned twice."""
+    cleaned = cleaning_stage(input_col, min_chars=min_chars).transform(TextStatistics(inputCol=input_col).transform(df))
+    return tokens(cleaned).drop(input_col, "clean_text", "words")
+
+
+def fit_prepared(prepared: DataFrame, num_features: int = NUM_FEATURES, min_doc_freq: int = MIN_DOC_FREQ) -> PipelineModel:
+    """The stages of ``feature_pipeline`` that follow ``prepared``."""
+    return Pipeline(stages=[
+        hashing_tf(num_features),
+        IDF(inputCol="raw_features", outputCol="tfidf_features", minDocFreq=min_doc_freq),
+        VectorAssembler(inputCols=STAT_COLUMNS, outputCol="text_stats", handleInvalid="skip"),
+        VectorAssembler(inputCols=["tfidf_features", "text_stats"], outputCol="features", handleInvalid="skip"),
+    ]).fit(prepared)
+
+
 def feature_table(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     """Only ``keep`` and the feature vector, ready to be written."""
     return model.transform(df).select(*keep, "features")

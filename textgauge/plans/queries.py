@@ -575,10 +575,14 @@ def _raw_docs(spark, sf_dir):
     return tables.texts(spark, sf_dir)
 
 
+def _features(spark, sf_dir):
+    docs = scratch.materialise(features.prepared(_raw_docs(spark, sf_dir)), "prepared")
+    return features.fit_prepared(docs).transform(docs)
+
+
 @query
 def tfidf_features(spark, sf_dir):
-    docs = _raw_docs(spark, sf_dir)
-    out = features.fit_features(docs).transform(docs).select("doc_id", "tfidf_features")
+    out = _features(spark, sf_dir).select("doc_id", "tfidf_features")
     return rounded(features.sparse_parts(out, "tfidf_features"))
 
 
@@ -586,8 +590,7 @@ def tfidf_features(spark, sf_dir):
 def features_assembled(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
-    docs = _raw_docs(spark, sf_dir)
-    out = features.fit_features(docs).transform(docs)
+    out = _features(spark, sf_dir)
     v = F.unwrap_udt("features")
     size = F.coalesce(v["size"], F.size(v["values"]))
     stats = vector_to_array("text_stats")
@@ -614,10 +617,10 @@ def feature_model_transform(spark, sf_dir):
 
 def _feature_splits(spark, sf_dir):
     """Features of the labelled articles, written once per split and read
-    back: training starts from files, not from a long lineage.  The cleaned
-    articles are written too, since fitting and transforming both read them."""
-    arts = scratch.materialise(quality.clean_articles(tables.articles(spark, sf_dir)), "articles")
-    model = features.fit_features(arts)
+    back: training starts from files, not from a long lineage.  Statistics and
+    words are written too, since fitting and transforming both read them."""
+    arts = scratch.materialise(features.prepared(quality.clean_articles(tables.articles(spark, sf_dir))), "prepared")
+    model = features.fit_prepared(arts)
     table = features.feature_table(model, arts, ["doc_id", "source", "subject", "label"])
     table = splits.hash_split(table).withColumn("fold", bucket("fold", FOLDS, "doc_id").cast("int"))
     path = scratch.scratch_path(spark, "features")
