@@ -38,11 +38,12 @@ INDEX = ("page_id long, record_type string, refers_to long, url string, payload_
 class Rule:
     """Payloads of fewer than ``least`` bytes are always stored whole.  Ranges
     with gaps of up to ``gap`` bytes are read together, ``block`` bytes of an
-    archive at most start in one read."""
+    archive at most start in one read; a task reads some ``task`` bytes."""
 
     least: int = 1000
     gap: int = 64 << 10
     block: int = 4 << 20
+    task: int = 16 << 20
 
 
 def record_types(pages: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -178,7 +179,10 @@ def read_records(index: DataFrame, folder: str, rule: Rule = Rule()) -> DataFram
                         rows, held = [], 0
                 yield pa.RecordBatch.from_pylist(rows, READ)
 
-    return plan_reads(index, rule).mapInArrow(
+    # Index rows are small, what they stand for is not: tasks are counted by the
+    # bytes to read, which adaptive execution cannot know.
+    tasks = max(1, -(-(index.agg(F.sum("length")).first()[0] or 0) // rule.task))
+    return plan_reads(index, rule).repartition(tasks, "file", "start").mapInArrow(
         run, "page_id long, record_type string, refers_to long, url string, payload_bytes long, payload_digest string, payload binary")
 
 
