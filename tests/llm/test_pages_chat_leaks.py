@@ -121,3 +121,18 @@ def test_template_and_words_keep_their_places(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in df.select(decontaminate.template("text").alias("t"), decontaminate.raw_tokens("text").alias("r")).collect():
         assert len(r["t"]) == len(r["r"])
+
+
+def test_leaks_in_any_case(spark):
+    r = random.Random(5)
+    noise = lambda n: " ".join(f"n{r.randrange(10**6)}x" for _ in range(n))
+    item = "Anna has 12 apples and gives 5 kg of them to Bert before Anna walks 3 km home to see how many apples Bert has left"
+    title, total = "The Tale Of Two Green Northern Cities", "12 + 7 + 30 + 4 + 9 = 62"
+    docs = [(1, noise(9) + " " + item.upper() + " " + noise(9)), (2, noise(5) + " " + item.lower()), (3, noise(4) + " " + title + " " + noise(3)),
+            (4, noise(4) + " " + title.upper()), (5, noise(2) + " " + total), (6, "A Song About Some Other Southern Towns"), (7, "11 + 7 + 30 + 4 + 9 = 61"),
+            (8, item.replace("Anna", "Maria").replace("12", "40").replace("Bert", "Tom"))]
+    bench = [(10, item), (11, title), (12, total)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(bench, "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.leaks(d, b, decontaminate.Rule(any_case=True)).collect()}
+    assert got == {(1, 10), (2, 10), (3, 11), (4, 11), (5, 12), (8, 10)}

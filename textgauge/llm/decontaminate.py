@@ -6,6 +6,10 @@ benchmark templates are joined by hash with the windows of all documents.  A
 document that holds most windows of an item in place is a candidate; there the
 words behind the placeholders must correspond one to one, so a question asked
 again with other values is found, and a chance likeness of templates is not.
+
+With ``Rule.any_case`` there is a second view of each text, in lower case: words
+are themselves there and only numbers and units are placeholders.  It finds
+copies in other case, and titles and sums word for word.
 """
 
 from __future__ import annotations
@@ -39,11 +43,14 @@ _NAME = r"\p{Lu}[\p{L}\p{M}]*"
 @dataclass(frozen=True)
 class Rule:
     """``coverage``: share of an item's windows that must be found in place;
-    ``agreement``: share of distinct slot values that must correspond."""
+    ``agreement``: share of distinct slot values that must correspond;
+    ``any_case``: texts are also compared in lower case, without names, and
+    placeholders alone by the words behind them."""
 
     window: int = 5
     coverage: float = 0.8
     agreement: float = 0.8
+    any_case: bool = False
     broadcast_windows: int = 500_000
     broadcast_ids: int = 500_000
 
@@ -71,10 +78,33 @@ def raw_tokens(text: Column | str) -> Column:
     return _tokens(c)
 
 
-def _windows(df: DataFrame, key: str, width: int) -> DataFrame:
-    """``(key, place, h)`` of every window of ``width`` tokens."""
+NAMES, FOLDED = "names", "folded"
+
+
+def _views(rule: Rule) -> list[str]:
+    return [NAMES, FOLDED] if rule.any_case else [NAMES]
+
+
+def _seen(text: str, kind: str) -> tuple[Column, Column]:
+    """Template tokens and the words behind them in a view."""
+    c = F.lower(F.col(text)) if kind == FOLDED else F.col(text)
+    return template(c), raw_tokens(c)
+
+
+def _windows(df: DataFrame, key: str, width: int, kind: str) -> DataFrame:
+    """``(key, place, h)`` of every window of ``width`` of the ``tokens``.  In
+    the folded view placeholders alone are hashed by their ``raw`` words."""
     n = F.size("tokens") - width + 1
-    hashes = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(*[F.get("tokens", i + j) for j in range(width)]))
+
+    def window(i):
+        own = [F.get("tokens", i + j) for j in range(width)]
+        h = F.xxhash64(F.lit(kind), *own)
+        if kind == NAMES:
+            return h
+        blank = (F.greatest(*own) if width > 1 else own[0]) < "\u0004"
+        return F.when(blank, F.xxhash64(F.lit("words"), *[F.get("raw", i + j) for j in range(width)])).otherwise(h)
+
+    hashes = F.transform(F.sequence(F.lit(0), n - 1), window)
     return df.where(n > 0).select(key, F.posexplode(hashes).alias("place", "h"))
 
 
@@ -85,39 +115,57 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFra
     Both tables need ``text`` and their id; other columns are ignored.  Null
     ids, null texts and texts without words match nothing.  An item shorter
     than a window is one window of its own length.  Windows of placeholders
-    alone say nothing and do not count; an item with no other is not found.  A repeated row of either
-    table is the same document or item.  Each pair of document and item is
-    reported once, at the place with most windows, the first one of ties.
+    alone say nothing in the view with names and do not count there; an item
+    with no other is found by ``any_case`` only.  A repeated row of either
+    table is the same document or item.  An item is found if it reaches the
+    coverage in one of the views.  Each pair of document and item is reported
+    once, at the place with most windows, the first one of ties.
     """
-    items = benchmark.where("item_id is not null").select("item_id", F.col("text").alias("item_text")).dropDuplicates()
-    items = items.withColumns({"tokens": template("item_text"), "item_raw": raw_tokens("item_text")}).where("size(tokens) > 0")
-    items = materialise(items.withColumn("width", F.least(F.size("tokens"), F.lit(rule.window))), "items")
-    widths = [r[0] for r in items.select("width").distinct().collect()]  # at most ``window`` numbers
-    texts = docs.where("doc_id is not null and text is not null").select("doc_id", template("text").alias("tokens"))
+    texts = benchmark.where("item_id is not null").select("item_id", F.col("text").alias("item_text")).dropDuplicates()
+    views = [texts.select("item_id", F.lit(k).alias("kind"), _seen("item_text", k)[0].alias("tokens"), _seen("item_text", k)[1].alias("raw"))
+             for k in _views(rule)]
+    items = views[0] if len(views) == 1 else views[0].union(views[1])
+    items = materialise(items.where("size(tokens) > 0").withColumn("width", F.least(F.size("tokens"), F.lit(rule.window))), "items")
+    widths = items.select("kind", "width").distinct().collect()  # at most ``window`` numbers a view
+    known = docs.where("doc_id is not null and text is not null")
     hits = wanted = None
-    for width in sorted(widths):
-        own = items.where(F.col("width") == width)
-        plain = F.exists(F.slice("tokens", F.col("place") + 1, width), lambda w: ~w.rlike(f"^[{NUMBER}{UNIT}{NAME}]+$"))
-        own = _windows(own, "item_id", width).join(own.select("item_id", "tokens"), "item_id").where(plain)
-        own = materialise(own.select("item_id", "h", F.col("place").alias("at")).distinct(), "item-windows")
-        some = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
+    for kind, width in sorted(map(tuple, widths)):
+        own = items.where((F.col("kind") == kind) & (F.col("width") == width))
+        windows = _windows(own, "item_id", width, kind)
+        if kind == NAMES:
+            plain = F.exists(F.slice("tokens", F.col("place") + 1, width), lambda w: ~w.rlike(f"^[{NUMBER}{UNIT}{NAME}]+$"))
+            windows = windows.join(own.select("item_id", "tokens"), "item_id").where(plain)
+        own = materialise(windows.select("item_id", "h", F.col("place").alias("at")).distinct(), "item-windows")
+        some = own.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows")).withColumn("kind", F.lit(kind))
         wanted = some if wanted is None else wanted.union(some)
-        found = _windows(texts, "doc_id", width).join(small(own, rule.broadcast_windows), "h").select(
-            "doc_id", "item_id", "at", (F.col("place") - F.col("at")).alias("shift"))
+        tokens, raw = _seen("text", kind)
+        seen = known.select("doc_id", tokens.alias("tokens"), *([raw.alias("raw")] if kind == FOLDED else []))
+        found = _windows(seen, "doc_id", width, kind).join(small(own, rule.broadcast_windows), "h").select(
+            "doc_id", "item_id", F.lit(kind).alias("kind"), "at", (F.col("place") - F.col("at")).alias("shift"))
         hits = found if hits is None else hits.union(found)
     if hits is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, place long, n_windows long, matched long, n_slots long")
-    counts = hits.groupBy("doc_id", "item_id", "shift").agg(F.count_distinct("at").alias("matched"))
+    counts = hits.groupBy("doc_id", "item_id", "kind", "shift").agg(F.count_distinct("at").alias("matched"))
     enough = F.col("matched") >= rule.coverage * F.col("n_windows")
-    counts = counts.join(small(materialise(wanted, "item-counts"), rule.broadcast_windows), "item_id").where(enough)
+    counts = counts.join(small(materialise(wanted, "item-counts"), rule.broadcast_windows), ["item_id", "kind"]).where(enough)
     first = F.max_by(F.struct("shift", "matched", "n_windows"), F.struct("matched", -F.col("shift")))
-    best = materialise(counts.groupBy("doc_id", "item_id").agg(first.alias("b")).select("doc_id", "item_id", "b.*"), "leak-places")
+    best = materialise(counts.groupBy("doc_id", "item_id", "kind").agg(first.alias("b")).select("doc_id", "item_id", "kind", "b.*"), "leak-places")
 
     # Read the few candidate documents again for the words of their slots.
-    again = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    pairs = again.join(small(best, rule.broadcast_ids), "doc_id").select(
-        "doc_id", "item_id", "shift", "matched", "n_windows", template("text").alias("doc_tokens"), raw_tokens("text").alias("doc_raw"))
-    pairs = pairs.join(small(items.select("item_id", "tokens", "item_raw"), rule.broadcast_windows), "item_id")
+    again, out = known.select("doc_id", "text"), None
+    for kind in _views(rule):
+        tokens, raw = _seen("text", kind)
+        pairs = again.join(small(best.where(F.col("kind") == kind), rule.broadcast_ids), "doc_id").select(
+            "doc_id", "item_id", "shift", "matched", "n_windows", tokens.alias("doc_tokens"), raw.alias("doc_raw"))
+        own = items.where(F.col("kind") == kind).select("item_id", "tokens", F.col("raw").alias("item_raw"))
+        pairs = _agreeing(pairs.join(small(own, rule.broadcast_windows), "item_id"), rule)
+        out = pairs if out is None else out.union(pairs)
+    top = F.max_by(F.struct("place", "n_windows", "matched", "n_slots"), F.struct(F.col("matched") / F.col("n_windows"), "n_windows", -F.col("place"), "n_slots"))
+    return out.groupBy("doc_id", "item_id").agg(top.alias("b")).select("doc_id", "item_id", "b.*")
+
+
+def _agreeing(pairs: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs in which the words of the slots correspond one to one."""
     def at(i, column):
         return F.get(column, i + F.col("shift"))
     places = F.filter(F.sequence(F.lit(0), F.size("tokens") - 1), lambda i: (
@@ -129,4 +177,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFra
     pairs = pairs.where((left >= rule.agreement * together) & (right >= rule.agreement * together))
     return pairs.select(
         "doc_id", "item_id", F.greatest(F.col("shift"), F.lit(0)).cast("long").alias("place"), F.col("n_windows").cast("long").alias("n_windows"),
-        F.col("matched").cast("long").alias("matched"), F.size("slots").cast("long").alias("n_slots")).dropDuplicates(["doc_id", "item_id"])
+        F.col("matched").cast("long").alias("matched"), F.size("slots").cast("long").alias("n_slots"))

@@ -89,7 +89,7 @@ def op6_chat_round_trip(spark, sf_dir) -> DataFrame:
 @query
 def op8_template_decontamination(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark", ["item_id", "text"]), decontaminate.Rule(any_case=True))
 
 
 @query
