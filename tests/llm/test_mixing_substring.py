@@ -129,3 +129,17 @@ def test_a_hot_passage_and_near_passages(spark):
     gone = substring.without_passages(spark.createDataFrame([(1, " ".join(passage)), (2, " ".join(passage))], "doc_id long, text string"), drop_emptied=True)
     assert [g["doc_id"] for g in gone.collect()] == [1]
     assert substring.repeated_passages(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_changed_paragraphs_are_met_as_often_as_stated(spark):
+    r = random.Random(9)
+    docs = []
+    for _ in range(150):
+        passage = noise(r, r.choice([50, 53, 60]))
+        changed = list(passage)
+        changed[len(passage) // 2] = "other"
+        for text in (passage, changed):
+            docs.append((len(docs), " ".join(noise(r, 30) + text + noise(r, 30))))
+    got = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert all(g["doc_id"] == g["other"] + 1 and g["other"] % 2 == 0 for g in got)
+    assert len({g["doc_id"] for g in got}) >= 0.9 * 150
