@@ -143,3 +143,27 @@ def test_changed_paragraphs_are_met_as_often_as_stated(spark):
     got = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert all(g["doc_id"] == g["other"] + 1 and g["other"] % 2 == 0 for g in got)
     assert len({g["doc_id"] for g in got}) >= 0.9 * 150
+
+
+def test_what_the_first_of_a_bucket_does_not_hold(spark):
+    r = random.Random(10)
+    docs, want = [], set()
+    # A notice that the first of all documents holds alone, in passages of two later ones.
+    notice = noise(r, 45)
+    docs.append((0, " ".join(noise(r, 20) + notice + noise(r, 20))))
+    for _ in range(40):
+        before = r.randrange(1, 7)
+        passage = noise(r, before) + notice + noise(r, 10 - before)
+        for _ in range(2):
+            docs.append((len(docs), " ".join(noise(r, 20) + passage + noise(r, 20))))
+        want.add(len(docs) - 1)
+    # The same for few documents, with a changed word.
+    small = noise(r, 40)
+    docs.append((len(docs), " ".join(noise(r, 20) + small + noise(r, 20))))
+    passage = noise(r, 40) + small + noise(r, 40)
+    changed = [*passage[:60], "other", *passage[61:]]
+    for text in (passage, changed):
+        docs.append((len(docs), " ".join(noise(r, 20) + text + noise(r, 20))))
+    want.add(len(docs) - 1)
+    got = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {g["doc_id"] for g in got} == want and all(g["other"] == g["doc_id"] - 1 for g in got)
