@@ -167,3 +167,19 @@ def test_what_the_first_of_a_bucket_does_not_hold(spark):
     want.add(len(docs) - 1)
     got = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert {g["doc_id"] for g in got} == want and all(g["other"] == g["doc_id"] - 1 for g in got)
+
+
+def test_inserted_and_deleted_words(spark):
+    r = random.Random(12)
+    docs, want = [], {}
+    for g in range(60):
+        passage = noise(r, 62)
+        longer = [*passage[:31], "more", *passage[31:]]
+        before = noise(r, 30)
+        first, second = (passage, longer) if g % 2 else (longer, passage)
+        docs.append((len(docs), " ".join(noise(r, 25) + first + noise(r, 30))))
+        docs.append((len(docs), " ".join(before + second + noise(r, 30))))
+        want[len(docs) - 1] = (30, 30 + len(second), 25)
+    got = {g["doc_id"]: (g["start"], g["stop"], g["other_start"]) for g in substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert set(got.items()) <= set(want.items())
+    assert len(got) >= 0.9 * 60
