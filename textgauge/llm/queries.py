@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
 from ..sources.tables import table
-from . import chat, compression, decontaminate, extract, mixing, near_dup, quality_rules, substring, toxicity, warc
+from . import alignment, chat, compression, decontaminate, extract, mixing, near_dup, quality_rules, substring, toxicity, warc
 from .oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -98,3 +98,8 @@ def op9_decision_list(spark, sf_dir) -> DataFrame:
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.min("quality").alias("label"))
     rules = quality_rules.learn(stats.join(labels, "doc_id"))
     return quality_rules.judge(stats, rules)
+
+
+@query
+def op12_tokenizer_alignment(spark, sf_dir) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents", ["doc_id", "text"]))
