@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
 from ..sources.tables import table
-from . import alignment, chat, compression, decontaminate, extract, mixing, near_dup, quality_rules, substring, toxicity, warc
+from . import alignment, chat, compression, decontaminate, extract, mixing, near_dup, prefix_trie, quality_rules, substring, toxicity, warc
 from .oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -103,3 +103,8 @@ def op9_decision_list(spark, sf_dir) -> DataFrame:
 @query
 def op12_tokenizer_alignment(spark, sf_dir) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"]))
