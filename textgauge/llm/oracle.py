@@ -36,6 +36,17 @@ ORACLE = {
   reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
   c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
   SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
+    "op11_occurrence_join": f"""
+  WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS w FROM documents),
+  s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+          ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END) AS shingle FROM w),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+  one AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+  links AS (SELECT a, b FROM one UNION ALL SELECT b, a FROM one),
+  reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+  c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+  SELECT c.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM c LEFT JOIN n USING (doc_id)""",
     # CRC-32 of the decimal conv_id: eight shifts per character.
     "op13_prefix_trie": """
   WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import materialise
 from ..sources.tables import table
-from . import alignment, chat, compression, decontaminate, extract, mixing, near_dup, prefix_trie, quality_rules, substring, toxicity, warc
+from . import alignment, chat, compression, decontaminate, extract, mixing, near_dup, occurrence_join, prefix_trie, quality_rules, substring, toxicity, warc
 from .oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -100,6 +100,11 @@ def op9_decision_list(spark, sf_dir) -> DataFrame:
     return quality_rules.judge(stats, rules)
 
 
+@query
+def op11_occurrence_join(spark, sf_dir) -> DataFrame:
+    return occurrence_join.jaccard_classes(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 @query
 def op12_tokenizer_alignment(spark, sf_dir) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents", ["doc_id", "text"]))
