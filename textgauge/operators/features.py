@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import MIN_CHARS, NON_LETTER_PATTERN, SPACE_PATTERN, STAT_COLUMNS, URL_PATTERN, with_text_stats
 
+# The length of a feature vector and the least document frequency.
 NUM_FEATURES = 1 << 14
 MIN_DOC_FREQ = 5
 
@@ -118,6 +119,14 @@ def sparse_parts(df: DataFrame, vector_col: str) -> DataFrame:
     )
 
 
+def sparse_entries(df: DataFrame, vector_col: str, index: str, value: str) -> DataFrame:
+    """A row for every stored entry of a sparse vector."""
+    v = F.unwrap_udt(vector_col)
+    entries = F.explode(F.arrays_zip(v["indices"].alias("i"), v["values"].alias("x")))
+    rows = df.select(*[c for c in df.columns if c != vector_col], entries.alias("e"))
+    return rows.select(*[c for c in df.columns if c != vector_col], F.col("e")["i"].alias(index), F.col("e")["x"].alias(value))
+
+
 def word_buckets(words: DataFrame, num_features: int = NUM_FEATURES) -> DataFrame:
     """Word to hash bucket, asked from ``HashingTF`` itself so that it always
     agrees with the features."""

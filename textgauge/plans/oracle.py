@@ -463,7 +463,48 @@ def _nb_fold(k: int) -> str:
 ORACLE["nb_cv_grid"] = f"""
   WITH g AS (SELECT model, round(avg(auc), 6) AS avg_auc, round(stddev_pop(auc), 6) AS std_auc
              FROM ({_auc(" UNION ALL ".join(_nb_fold(k) for k in range(5)), 'model, fold')}) GROUP BY model)
-  SELECT *, model = (SELECT model FROM g ORDER BY avg_auc DESC, model DESC LIMIT 1) AS best FROM g"""
+  SELECT *, model = (SELECT model FROM g ORDER BY avg_auc DESC, list_position({list(NB_SMOOTHING)}, model) LIMIT 1) AS best FROM g"""
+
+
+# --- 32-bit Murmur3 over UTF-8 bytes, in integer arithmetic ---
+
+# The constants of the hash.
+_C1, _C2, _ADD, _F1, _F2 = 0xCC9E2D51, 0x1B873593, 0xE6546B64, 0x85EBCA6B, 0xC2B2AE35
+_LOW = "& 4294967295::UBIGINT"
+
+
+def _rotated(x: str, bits: int) -> str:
+    return f"((({x} << {bits}) | ({x} >> {32 - bits})) {_LOW})"
+
+
+def murmur3(text: str, seed: int = 42) -> str:
+    """A query ``(word, h)``: the unsigned hash of every distinct ``word`` of
+    the query ``text``."""
+    scrambled = _rotated(f"((k * {_C1}::UBIGINT) {_LOW})", 15)
+    return f"""
+  WITH b AS (SELECT word, list_transform(range(0, len(hex(encode(word))) // 2), lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::BIGINT, 2))::UBIGINT) AS b
+             FROM (SELECT DISTINCT word FROM ({text}))),
+  g AS (SELECT word, len(b)::UBIGINT AS n, list_transform(range(0, (len(b) + 3) // 4), lambda i:
+          coalesce(b[4 * i + 1], 0::UBIGINT) + (coalesce(b[4 * i + 2], 0::UBIGINT) << 8) + (coalesce(b[4 * i + 3], 0::UBIGINT) << 16) + (coalesce(b[4 * i + 4], 0::UBIGINT) << 24)) AS g FROM b),
+  k AS (SELECT word, n, list_transform(g, lambda k: ({scrambled} * {_C2}::UBIGINT) {_LOW}) AS k FROM g),
+  h AS (SELECT word, n, k, list_reduce(list_prepend({seed}::UBIGINT, k[1:(n // 4)::BIGINT]), lambda x, y:
+          (({_rotated('xor(x, y)', 13)} * 5::UBIGINT) + {_ADD}::UBIGINT) {_LOW}) AS h FROM k),
+  t AS (SELECT word, xor(CASE WHEN n % 4 > 0 THEN xor(h, k[len(k)]) ELSE h END, n) AS h FROM h),
+  u AS (SELECT word, (xor(h, h >> 16) * {_F1}::UBIGINT) {_LOW} AS h FROM t),
+  v AS (SELECT word, (xor(h, h >> 13) * {_F2}::UBIGINT) {_LOW} AS h FROM u)
+  SELECT word, xor(h, h >> 16) AS h FROM v"""
+
+
+# The vector length divides 2 ** 32, so the unsigned remainder is the index.
+_BUCKETS = f"SELECT word AS term, (h % 16384)::INT AS bucket FROM ({murmur3(f'SELECT unnest(words) AS word FROM ({TOKENS})')})"
+_BUCKET_TF = f"SELECT doc_id, bucket, sum(tf)::DOUBLE AS tf FROM ({TF}) JOIN ({_BUCKETS}) USING (term) GROUP BY 1, 2"
+ORACLE["word_buckets"] = f"SELECT word, (h % 16384)::INT AS bucket FROM ({murmur3(VOCABULARY)})"
+ORACLE["hashing_tf_buckets"] = _BUCKET_TF
+ORACLE["tfidf_features"] = f"""
+  WITH tf AS ({_BUCKET_TF}),
+  w AS (SELECT bucket, CASE WHEN count(*) >= 5 THEN ln(({N_DOCS} + 1) / (count(*) + 1)) ELSE 0.0 END AS idf FROM tf GROUP BY bucket)
+  SELECT d.doc_id, 16384 AS vector_size, count(tf.bucket)::INT AS stored, round(coalesce(sum(tf.tf * w.idf), 0.0), 6) AS total
+  FROM (SELECT doc_id FROM ({CLEAN_DOCS})) d LEFT JOIN tf USING (doc_id) LEFT JOIN w USING (bucket) GROUP BY d.doc_id"""
 
 # What must hold of results that SQL cannot compute: rows, labels, bounds.
 _FEATURE_ROWS = f"SELECT doc_id, source, subject, label, {split_of('doc_id')} AS split FROM ({CLEAN_ARTICLES}) WHERE length({CLEAN}) >= 100"

@@ -6,13 +6,28 @@ six digits so that they can be compared with another engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import bucket
 from ..functions.text import STAT_COLUMNS, stop_words, with_text_stats
-from ..operators import dedup, evaluate, features, importance, perturb, quality, reports, roc, significance, splits, terms, train
+from ..operators import (
+    dedup,
+    evaluate,
+    features,
+    importance,
+    model_tables,
+    perturb,
+    quality,
+    reports,
+    roc,
+    search,
+    significance,
+    splits,
+    terms,
+    train,
+)
 from ..operators.predictions import (
     PRICE_RULES,
     TEXT_RULES,
@@ -571,6 +586,13 @@ def hashing_tf(spark, sf_dir):
     return features.sparse_parts(hashed, "raw_features").select("doc_id", "vector_size", F.col("total").alias("total_terms"))
 
 
+@query
+def hashing_tf_buckets(spark, sf_dir):
+    """The stored entries of the hashed term frequencies, a row each."""
+    hashed = features.hashing_tf().transform(_mllib_tokens(spark, sf_dir)).select("doc_id", "raw_features")
+    return features.sparse_entries(hashed, "raw_features", "bucket", "tf")
+
+
 def _raw_docs(spark, sf_dir):
     return tables.texts(spark, sf_dir)
 
@@ -615,31 +637,54 @@ def feature_model_transform(spark, sf_dir):
 
 # --- MLlib: models ------------------------------------------------------------------------------
 
+# Written results of this session: features and searches by application, input
+# and settings.  A search takes minutes and a dozen queries read it; inputs are
+# taken as unchanged while a session lasts.
+_WRITTEN: dict[tuple, object] = {}
+
+
+def _once(spark, key: tuple, make):
+    key = (spark.sparkContext.applicationId, *key)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = make()
+    return _WRITTEN[key]
+
+
 def _feature_splits(spark, sf_dir):
     """Features of the labelled articles, written once per split and read
     back: training starts from files, not from a long lineage.  Statistics and
     words are written too, since fitting and transforming both read them."""
-    arts = scratch.materialise(features.prepared(quality.clean_articles(tables.articles(spark, sf_dir))), "prepared")
-    model = features.fit_prepared(arts)
-    table = features.feature_table(model, arts, ["doc_id", "source", "subject", "label"])
-    table = splits.hash_split(table).withColumn("fold", bucket("fold", FOLDS, "doc_id").cast("int"))
-    path = scratch.scratch_path(spark, "features")
-    # An optimiser reads the table hundreds of times: few files when small.
-    sinks.write_splits(table, path, balance=True)
+    def make():
+        arts = scratch.materialise(features.prepared(quality.clean_articles(tables.articles(spark, sf_dir))), "prepared")
+        model = features.fit_prepared(arts)
+        table = features.feature_table(model, arts, ["doc_id", "source", "subject", "label"])
+        table = splits.hash_split(table).withColumn("fold", bucket("fold", FOLDS, "doc_id").cast("int"))
+        path = scratch.scratch_path(spark, "features")
+        sinks.write_splits(table, path, balance=True)
+        return path
+
+    path = _once(spark, ("features", sf_dir, FOLDS), make)
     return tuple(sinks.read_split(spark, path, s) for s in splits.SPLIT_NAMES)
 
 
-def _searched(spark, sf_dir, names, keep_folds=False):
-    """The searched models and the three splits."""
+def _searched(spark, sf_dir, names):
+    """What the searches of ``names`` have found, and the three splits."""
     training, validation, test = _feature_splits(spark, sf_dir)
-    return train.search_all(names, training, FOLDS, keep_folds), training, validation, test
+
+    def make(name):
+        path = scratch.scratch_path(spark, f"search-{name}")
+        search.searched(training, name, FOLDS, path)
+        return path
+
+    paths = [_once(spark, ("search", sf_dir, FOLDS, name), lambda name=name: make(name)) for name in names]
+    return search.union([search.load(spark, p) for p in paths]), training, validation, test
 
 
 def _train_and_measure(spark, sf_dir, name):
     """Test metrics of the best grid point, refitted on all training rows."""
     found, _, _, test = _searched(spark, sf_dir, [name])
-    scored = train.predictions(found[0].model, test, name)
-    measured = evaluate.evaluate(scored, ["model"]).join(train.fit_times(spark, found), "model")
+    scored = model_tables.predictions(found.fitted(), test)
+    measured = evaluate.evaluate(scored, ["model"]).join(found.times, "model")
     return rounded(measured, 4)
 
 
@@ -668,7 +713,7 @@ def prediction_scores(spark, sf_dir):
     """A model with probabilities next to one with margins only: rows, labels
     and whether score and prediction are of the right kind."""
     found, _, validation, _ = _searched(spark, sf_dir, ["NaiveBayes", "LinearSVC"])
-    scored = train.union_all([train.predictions(s.model, validation, s.name) for s in found])
+    scored = model_tables.predictions(found.fitted(), validation)
     bounded = F.when(F.col("model") == "LinearSVC", ~F.isnan("score")).otherwise(F.col("score").between(0, 1))
     return scored.select("row_id", "model", "label", bounded.alias("score_in_bounds"), F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
@@ -676,7 +721,7 @@ def prediction_scores(spark, sf_dir):
 @query
 def score_batch(spark, sf_dir):
     found, _, _, test = _searched(spark, sf_dir, ["NaiveBayes"])
-    scored = train.predictions(found[0].model, test, "NaiveBayes", keep=["source", "subject"])
+    scored = model_tables.predictions(found.fitted(), test, keep=["source", "subject"])
     return scored.select("row_id", "source", "subject", "model", "label", F.col("score").between(0, 1).alias("score_in_bounds"),
                          F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
@@ -684,18 +729,20 @@ def score_batch(spark, sf_dir):
 def _test_predictions(spark, sf_dir):
     """Test predictions of the four searched models, written once: a model is
     asked once per row whatever reads its answers."""
-    found, _, _, test = _searched(spark, sf_dir, train.MODEL_NAMES)
-    return scratch.materialise(train.union_all([train.predictions(s.model, test, s.name) for s in found]), "predictions")
+    def make():
+        found, _, _, test = _searched(spark, sf_dir, train.MODEL_NAMES)
+        return scratch.materialise(model_tables.predictions(found.fitted(), test), "predictions")
+
+    return _once(spark, ("predictions", sf_dir, FOLDS), make)
 
 
 @query
 def model_metrics(spark, sf_dir):
     """Validation and test metrics of the searched models, with fit times."""
     found, _, validation, test = _searched(spark, sf_dir, train.MODEL_NAMES)
-    scored = scratch.materialise(train.union_all([
-        train.predictions(s.model, data, s.name).withColumn("split", F.lit(split))
-        for s in found for split, data in (("validation", validation), ("test", test))]), "predictions")
-    return rounded(evaluate.evaluate(scored, ["split", "model"]).join(train.fit_times(spark, found), "model"), 4)
+    both = validation.withColumn("split", F.lit("validation")).unionByName(test.withColumn("split", F.lit("test")))
+    scored = scratch.materialise(model_tables.predictions(found.fitted(), both, keep=["split"]), "predictions")
+    return rounded(evaluate.evaluate(scored, ["split", "model"]).join(found.times, "model"), 4)
 
 
 @query
@@ -720,27 +767,27 @@ def model_mcnemar(spark, sf_dir):
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Searched models, saved and loaded, score the validation split alike."""
+    """Searched models, saved as another version and loaded, score the
+    validation split alike."""
     found, _, validation, _ = _searched(spark, sf_dir, train.MODEL_NAMES)
-    before, after = [], []
-    for s in found:
-        loaded = train.save_and_load(s.model, s.name, scratch.scratch_path(spark, s.name))
-        before.append(train.predictions(s.model, validation, s.name))
-        after.append(train.predictions(loaded, validation, s.name))
-    return train.prediction_mismatches(train.union_all(before), train.union_all(after))
+    root = scratch.scratch_path(spark, "model-versions")
+    models = found.fitted()
+    first, last = model_tables.save(models, root), model_tables.save(model_tables.load(spark, root), root)
+    before, after = (model_tables.predictions(m, validation) for m in (models, model_tables.load(spark, root, last)))
+    assert (first, last) == (1, 2)
+    return train.prediction_mismatches(before, after)
 
 
 @query
 def cv_grid(spark, sf_dir):
     found, _, _, _ = _searched(spark, sf_dir, train.MODEL_NAMES)
-    return rounded(train.union_all([train.grid_table(spark, s.name, s.cv) for s in found]))
+    return rounded(found.grid)
 
 
 @query
 def cv_fold_metrics(spark, sf_dir):
-    found, training, validation, _ = _searched(spark, sf_dir, train.MODEL_NAMES, keep_folds=True)
-    scored = scratch.materialise(
-        train.union_all([train.fold_predictions(s.name, s.cv, training, validation) for s in found]), "fold-predictions")
+    found, training, validation, _ = _searched(spark, sf_dir, train.MODEL_NAMES)
+    scored = scratch.materialise(search.fold_predictions(found, training, validation, FOLDS), "fold-predictions")
     per_fold = evaluate.evaluate(scored, ["scope", "model", "fold"])
     return rounded(per_fold.select("scope", "model", "fold", "accuracy", "f1_weighted", "f1_positive", "auc"), 4)
 
@@ -806,8 +853,11 @@ def nb_cv_grid(spark, sf_dir):
         _nb_predictions(words, F.col("fold") != k, F.col("fold") == k).withColumn("fold", F.lit(k)) for k in range(FOLDS)])
     areas = roc.area_under_roc(scratch.materialise(scored, "nb-fold-predictions"), ["model", "fold"])
     grid = rounded(areas.groupBy("model").agg(F.avg("auc").alias("avg_auc"), F.stddev_pop("auc").alias("std_auc")))
-    best = F.max(F.struct("avg_auc", F.col("model"))).over(Window.partitionBy(F.lit(0)))  # a row per grid point
-    return grid.withColumn("best", F.col("model") == best["model"])
+    # The first grid point with the largest mean, in the order of NB_SMOOTHING.
+    index = F.array_position(F.array(*[F.lit(m) for m in NB_SMOOTHING]), F.col("model")).cast("int")
+    best = evaluate.best_of_grid(grid.withColumns({"grid_index": index, "grid": F.lit("nb")}), "avg_auc", key="grid")
+    return grid.withColumn("grid_index", index).join(F.broadcast(best.select("grid_index", F.lit(True).alias("best"))), "grid_index", "left").select(
+        "model", "avg_auc", "std_auc", F.coalesce("best", F.lit(False)).alias("best"))
 
 
 def _forest(spark, sf_dir):
