@@ -125,3 +125,71 @@ def area_under_roc(pred: DataFrame, keys: list[str], bits: int | None = None) ->
     doubled = F.sum(F.col("_inner") + 2.0 * F.col("_n").cast("double") * F.col("_above").cast("double"))
     pairs = F.sum("_p").cast("double") * F.sum("_n").cast("double")
     return buckets.groupBy(*keys).agg(F.try_divide(doubled, 2.0 * pairs).alias("auc"))
+
+
+# --- curves of bounded size ------------------------------------------------------------------------
+
+SKETCH_K = 4096
+POINTS = 1000
+RANKS = 2000  # quantiles read from a sketch
+
+
+def sketch_error(k: int = SKETCH_K) -> float:
+    """Rank error of a quantile sketch of size ``k`` that 99 of 100 ranks keep."""
+    return 2.446 / k**0.9433
+
+
+def bounded_roc_curve(pred: DataFrame, keys: list[str], k: int = SKETCH_K) -> DataFrame:
+    """At most ``POINTS`` points ``(threshold, fpr, tpr)`` per group from one
+    mergeable quantile sketch per class.
+
+    The state of a group is two sketches, whatever the number of rows or of
+    distinct scores, and partial sketches are merged before the shuffle.
+    Thresholds are quantiles of both classes; a rate is the share of a class's
+    ``RANKS`` quantiles at or above the threshold, off by ``sketch_error(k)`` and
+    a rank at most.  The origin has no threshold.  Groups without one of the classes have no curve.
+    """
+    positive = F.col("label") == 1
+    kept = pred.where(F.col("score").isNotNull() & F.col("label").isNotNull())
+    sketches = kept.groupBy(*keys).agg(
+        F.kll_sketch_agg_double(F.when(positive, F.col("score").cast("double")), k).alias("p"), F.count_if(positive).alias("n_p"),
+        F.kll_sketch_agg_double(F.when(~positive, F.col("score").cast("double")), k).alias("n"), F.count_if(~positive).alias("n_n"))
+    ranks = F.array(*[F.lit(i / RANKS) for i in range(RANKS + 1)])
+    found = sketches.where("n_p > 0 and n_n > 0").select(
+        *keys, F.kll_sketch_get_quantile_double("p", ranks).alias("p"), F.kll_sketch_get_quantile_double("n", ranks).alias("n"))
+    step = -(-2 * RANKS // (POINTS - 4))
+    some = [F.filter(c, lambda x, i: i % step == 0) for c in ("p", "n")]
+    found = found.withColumn("cuts", F.reverse(F.array_sort(F.array_distinct(F.concat(*some)))))
+
+    def share(quantiles, t):
+        return F.size(F.filter(quantiles, lambda x: x >= t)) / float(RANKS + 1)
+
+    point = F.transform("cuts", lambda t: F.struct(t.alias("threshold"), share("n", t).alias("fpr"), share("p", t).alias("tpr")))
+    origin = F.struct(F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+    return found.select(*keys, F.inline(F.concat(F.array(origin), point)))
+
+
+def curve_deviation(pred: DataFrame, curve: DataFrame, keys: list[str]) -> DataFrame:
+    """``(keys, points, off, area, exact_area)``: the largest distance of a
+    curve's rates from the exact ones at its thresholds, and both areas.
+
+    Rows are counted between thresholds in one aggregation; what is put in
+    order is a row per threshold.
+    """
+    cuts = curve.where("threshold is not null").groupBy(*keys).agg(F.sort_array(F.collect_list("threshold"), asc=False).alias("_cuts"))
+    groups = score_groups(pred.where("score is not null and label is not null"), keys)
+    # A threshold has the scores from itself up to the next higher one.
+    placed = _with_bucket(groups.join(F.broadcast(cuts), keys), POINTS.bit_length() + 1)
+    counts = placed.groupBy(*keys, "_b").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    every = cuts.select(*keys, F.posexplode("_cuts").alias("_b", "threshold"))
+    over = Window.partitionBy(*keys)
+    running = over.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    exact = counts.join(every, [*keys, "_b"], "full").select(
+        *keys, "threshold", *[(F.sum(F.coalesce(c, F.lit(0))).over(running) / F.sum(c).over(over)).alias(r) for c, r in (("pos", "tpr"), ("neg", "fpr"))])
+    both = curve.join(exact.select(*keys, "threshold", F.col("tpr").alias("t"), F.col("fpr").alias("f")), [*keys, "threshold"], "left")
+    order = over.orderBy(F.desc_nulls_first("threshold"))
+    both = both.withColumns({"f0": F.lag("fpr").over(order), "t0": F.lag("tpr").over(order)})
+    off = F.greatest(F.max(F.abs(F.col("tpr") - F.col("t"))), F.max(F.abs(F.col("fpr") - F.col("f"))))
+    area = F.sum((F.col("fpr") - F.col("f0")) * (F.col("tpr") + F.col("t0")) / 2)
+    found = both.groupBy(*keys).agg(F.count("*").alias("points"), off.alias("off"), area.alias("area"))
+    return found.join(area_under_roc(pred, keys).withColumnRenamed("auc", "exact_area"), keys)

@@ -321,6 +321,8 @@ ORACLE = {
     "auc_by_model": f"SELECT model, round(auc, 6) AS auc FROM ({_auc(DOC_PREDICTIONS, 'model')})",
     "lineitem_metrics": _rounded_metrics(LINE_PREDICTIONS, "model"),
     "lineitem_roc_curve": _roc(LINE_PREDICTIONS),
+    # What must hold of a sketch: its size and its bounds.
+    "lineitem_roc_sketch": f"SELECT DISTINCT model, true AS bounded, true AS rates_within, true AS area_within FROM ({LINE_PREDICTIONS})",
     "lineitem_auc": f"SELECT model, round(auc, 6) AS auc FROM ({_auc(LINE_PREDICTIONS, 'model')})",
     "lineitem_mcnemar": _mcnemar_test(LINE_PAIRS),
     "mcnemar_pairs": _mcnemar_pairs(DOC_PREDICTIONS),

@@ -340,6 +340,20 @@ def lineitem_roc_curve(spark, sf_dir):
     return rounded(roc.roc_curve(lineitem_predictions(spark, sf_dir), ["model"]))
 
 
+@query
+def lineitem_roc_sketch(spark, sf_dir):
+    """The curve of bounded size next to the exact one: points, the largest
+    deviation of a rate and that of the area, against their bounds."""
+    rows = lineitem_predictions(spark, sf_dir).select("model", "label", "score")
+    curve = scratch.materialise(roc.bounded_roc_curve(rows, ["model"]), "roc-sketch")
+    found = roc.curve_deviation(rows, curve, ["model"])
+    # Several hundred ranks are asked for: some go beyond what 99 of 100 keep.
+    bound = F.lit(2 * roc.sketch_error())
+    return found.select(
+        "model", (F.col("points") <= roc.POINTS).alias("bounded"), (F.col("off") <= bound).alias("rates_within"),
+        (F.abs(F.col("area") - F.col("exact_area")) <= bound).alias("area_within"))
+
+
 @query
 def lineitem_auc(spark, sf_dir):
     return rounded(roc.area_under_roc(lineitem_predictions(spark, sf_dir), ["model"]))
