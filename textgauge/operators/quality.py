@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import MIN_CHARS, STAT_COLUMNS, cleaned
+from ..sources.observed import Observed
 from ..sources.tables import LABEL_NAMES
 from .dedup import drop_duplicate_texts
 
@@ -115,6 +116,20 @@ def quality_funnel(df: DataFrame, min_chars: int = MIN_CHARS, text_col: str = "t
     return counts.select(F.inline(rows))
 
 
+def cleaned_and_counted(df: DataFrame, watch: Observed, min_chars: int = MIN_CHARS) -> DataFrame:
+    """The cleaning chain with its stages marked in ``watch``: writing the
+    result gives the rows left after each of them.
+
+    One scan: copies are dropped by an aggregation that carries the row of the
+    smallest id, not by a join with the rows to keep.
+    """
+    df = watch.at(watch.at(df, "raw").dropna(subset=["text"]), "text_present")
+    df = watch.at(df.where(F.length("text") >= min_chars), "long_enough")
+    first = df.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min_by(F.struct(*df.columns), "doc_id").alias("row"))
+    df = watch.at(first.select("row.*"), "distinct_text")
+    return watch.at(clean_text(df, min_chars=min_chars), "cleaned")
+
+
 def data_quality_summary(df: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``(metric, value)`` rows: text quality and labelling in one table."""
     t = _texts_by_digest(df, min_chars, "text")

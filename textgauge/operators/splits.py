@@ -52,6 +52,15 @@ def stratified_split_exact(df: DataFrame, seed=SEED, weights=SPLIT_WEIGHTS, id_c
     return joined.select(*df.columns, split.alias("split"))
 
 
+def split_metrics(split_col: str = "split") -> dict[str, Column]:
+    """Rows and positives of every split as metrics of one aggregation."""
+    out = {}
+    for name in SPLIT_NAMES:
+        inside = F.col(split_col) == name
+        out |= {f"{name}_rows": F.count_if(inside), f"{name}_positives": F.count_if(inside & (F.col("label") == 1))}
+    return out
+
+
 def split_summary(df: DataFrame) -> DataFrame:
     """Rows, positives and positive ratio per split; a split without rows is
     reported with zeros."""

@@ -508,6 +508,10 @@ ORACLE["tfidf_features"] = f"""
   SELECT d.doc_id, 16384 AS vector_size, count(tf.bucket)::INT AS stored, round(coalesce(sum(tf.tf * w.idf), 0.0), 6) AS total
   FROM (SELECT doc_id FROM ({CLEAN_DOCS})) d LEFT JOIN tf USING (doc_id) LEFT JOIN w USING (bucket) GROUP BY d.doc_id"""
 
+# Counted by a write, the same rows.
+ORACLE["funnel_while_writing"] = ORACLE["quality_funnel"]
+ORACLE["splits_while_writing"] = ORACLE["split_summary"]
+
 # What must hold of results that SQL cannot compute: rows, labels, bounds.
 _FEATURE_ROWS = f"SELECT doc_id, source, subject, label, {split_of('doc_id')} AS split FROM ({CLEAN_ARTICLES}) WHERE length({CLEAN}) >= 100"
 ORACLE["repartition_balance"] = "SELECT count(*)::BIGINT AS rows, 8::BIGINT AS partitions, true AS balanced FROM documents"

@@ -37,7 +37,7 @@ from ..operators.predictions import (
     lineitem_rules,
 )
 from ..operators.reports import rounded
-from ..sources import crawl, scratch, sinks, tables
+from ..sources import crawl, observed, scratch, sinks, tables
 from ..sources import schema as schemas
 
 QUERIES = {}
@@ -260,6 +260,25 @@ def quality_funnel(spark, sf_dir):
     return quality.quality_funnel(tables.texts(spark, sf_dir).select("text"))
 
 
+@query
+def funnel_while_writing(spark, sf_dir):
+    """The funnel counted by the job that writes the cleaned texts."""
+    watch = observed.Observed()
+    watch.write(quality.cleaned_and_counted(tables.texts(spark, sf_dir), watch), scratch.scratch_path(spark, "cleaned"))
+    return watch.funnel(spark)
+
+
+@query
+def splits_while_writing(spark, sf_dir):
+    """The split summary counted by the job that writes the splits."""
+    watch = observed.Observed()
+    table = watch.at(splits.hash_split(_labelled_ids(spark, sf_dir)), "splits", **splits.split_metrics())
+    watch.write(table, scratch.scratch_path(spark, "splits"), by="split")
+    (_, m), = watch.metrics()
+    rows = [(s, m[f"{s}_rows"], m[f"{s}_positives"], m[f"{s}_positives"] / max(m[f"{s}_rows"], 1)) for s in splits.SPLIT_NAMES]
+    return rounded(spark.createDataFrame(rows, "split string, rows long, positives long, positive_ratio double"))
+
+
 @query
 def data_quality_summary(spark, sf_dir):
     return quality.data_quality_summary(tables.raw_articles(spark, sf_dir))
