@@ -136,3 +136,20 @@ def test_leaks_in_any_case(spark):
     b = spark.createDataFrame(bench, "item_id long, text string")
     got = {(x["doc_id"], x["item_id"]) for x in decontaminate.leaks(d, b, decontaminate.Rule(any_case=True)).collect()}
     assert got == {(1, 10), (2, 10), (3, 11), (4, 11), (5, 12), (8, 10)}
+
+
+def test_tags_that_begin_like_raw_ones_and_elements_that_close_themselves():
+    for html, want in (
+            ("<p>a</p><svg width='1' /><p>b</p>", ["a", "b"]), ("<svg/>t", ["t"]), ("<p>a</p><svg><path/></svg><p>b</p>", ["a", "b"]),
+            ("<title-card>x</title-card><p>y</p>", ["x", "y"]), ("<style-guide><p>z</p></style-guide>", ["z"]),
+            ("<p>a<script src=x/>var</script>b</p>", ["ab"]), ("<STYLE>p{}</STYLE>v", ["v"])):
+        assert [x for x, _ in extract.page_lines(html)] == want, html
+
+
+def test_pages_of_many_lines(spark):
+    """Without an article every line is differenced; the work follows the lines."""
+    own = [[f"line {k} of page {i}" for k in range(20_000)] for i in range(2)]
+    html = ["<p>shared top</p>" + "".join(f"<p>{x}</p>" for x in lines) + "<p>shared end</p>" for lines in own]
+    rows = [(i, f"http://h/{i}", h) for i, h in enumerate(html)]
+    got = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: "\n".join(lines) for i, lines in enumerate(own)}
