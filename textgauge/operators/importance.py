@@ -21,6 +21,12 @@ def importance_table(spark, model) -> DataFrame:
     return spark.createDataFrame(rows, "feature_index int, importance double")
 
 
+def importances_of(spark, values: dict[int, float]) -> DataFrame:
+    """``(feature_index, importance)`` of ``forest.importances``; as long as the
+    features that some tree splits by."""
+    return spark.createDataFrame(sorted(values.items()), "feature_index int, importance double")
+
+
 def top_features(importances: DataFrame, k: int = TOP_K) -> DataFrame:
     """The k largest with rank; ties by index."""
     best = importances.orderBy(F.desc("importance"), "feature_index").limit(k)

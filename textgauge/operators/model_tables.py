@@ -16,10 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .forest import Tree
 from .grid_search import ALL_ROWS, Fitted
 
 WEIGHTS = "model string, fold int, link string, threshold double, size int, feature int, value double"
@@ -83,6 +85,21 @@ def from_forest(spark: SparkSession, name: str, model, path: str, fold: int = AL
     return ModelTables(spark.createDataFrame([], WEIGHTS), nodes)
 
 
+def from_trees(spark: SparkSession, name: str, trees: list[Tree], cuts: np.ndarray) -> ModelTables:
+    """The trees of a forest search; a leaf scores the share of class 1 among
+    its rows."""
+    columns: list[list] = [[] for _ in range(8)]
+    for t in trees:
+        for node, left in enumerate(t.left):
+            f, inner = t.feature[node], left >= 0
+            row = (t.point.fold, t.number, node, f, float(cuts[f, t.bin[node]]) if inner else None, left, left + 1 if inner else -1, t.score(node))
+            for c, v in zip(columns, row):
+                c.append(v)
+    table = pa.table([pa.array([name] * len(columns[0])), *map(pa.array, columns)], names=[c.split()[0] for c in NODES.split(", ")])
+    nodes = spark.createDataFrame(table).select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in NODES.split(", ")])
+    return ModelTables(spark.createDataFrame([], WEIGHTS), nodes)
+
+
 # --- scoring ---------------------------------------------------------------------------------------
 
 def _numbers(values, kind: str) -> Column:

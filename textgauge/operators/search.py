@@ -1,8 +1,8 @@
 """Model searches whose results are tables: the grid, the coefficients or
 nodes of the best point for all rows and for every fold, and the time.
 
-Linear models and naive Bayes are searched in shared passes (``grid_search``);
-forests by MLlib's cross-validator.  Everything is written, so that later
+Linear models and naive Bayes are searched in shared passes (``grid_search``),
+forests in passes of their own (``forest``).  Everything is written, so that later
 readers neither fit again nor hold models in the driver.
 """
 
@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import grid_search, model_tables, roc, train
+from . import forest, grid_search, model_tables, roc, train
 from .evaluate import best_of_grid
 
 GRID = "model string, grid_index int, params string, avg_auc double, std_auc double"
@@ -84,20 +84,48 @@ def search(training: DataFrame, names: list[str], folds: int, settings: grid_sea
     return spark.createDataFrame(rows, GRID), fitted, passes
 
 
+FOREST = "RandomForest"
+
+
+def fit_forests(training: DataFrame, folds: list[int], points: list[int] | None = None):
+    """``(trees, cuts, blocks)``: the forests of some or all grid points, each
+    once without every one of ``folds``; the caller lets go of the blocks."""
+    estimator, grid = train.estimator_and_grid(FOREST)
+    made = [estimator.copy(p) for p in grid]
+    settings = forest.Settings(made[0].getMaxDepth(), made[0].getMaxBins(), made[0].getSeed())
+    whole = grid_search.held(grid_search.feature_blocks(training))
+    try:
+        size = whole.agg(F.max("size")).first()[0]
+        if size is None:
+            raise ValueError("no labelled rows to train on")
+        cuts = forest.candidate_splits(whole, size, settings)
+        blocks = grid_search.held(forest.by_feature(whole, cuts))
+        wanted = [(grid_search.Point(FOREST, k, fold), made[k].getNumTrees()) for k in (points or range(len(grid))) for fold in folds]
+        return forest.grow(blocks, cuts, wanted, settings), cuts, blocks
+    finally:
+        whole.unpersist()
+
+
+def search_forests(training: DataFrame, folds: int):
+    """``(grid, trees, cuts)`` of all grid points and folds."""
+    trees, cuts, blocks = fit_forests(training, [*range(folds), ALL_ROWS])
+    try:
+        areas = roc.area_under_roc(forest.held_out_scores(blocks, cuts, trees, FOREST), ["model", "grid_index", "fold"])
+        grid = areas.groupBy("model", "grid_index").agg(F.avg("auc").alias("avg_auc"), F.stddev_pop("auc").alias("std_auc")).collect()
+    finally:
+        blocks.unpersist()
+    rows = [(r.model, r.grid_index, _described(grid_points(FOREST)[r.grid_index]), r.avg_auc, r.std_auc) for r in grid]
+    return training.sparkSession.createDataFrame(rows, GRID), trees, cuts
+
+
 def searched(training: DataFrame, name: str, folds: int, path: str) -> Found:
     """Search ``name`` and write what was found under ``path``."""
     spark = training.sparkSession
     begin = time.perf_counter()
-    if name == "RandomForest":
-        training = training.persist()
-        try:
-            cv = train.cross_validate(name, training, folds, keep_folds=True)
-        finally:
-            training.unpersist()
-        grid, best = train.grid_table(spark, name, cv), train.best_index(cv)
-        models = model_tables.from_forest(spark, name, cv.bestModel, f"{path}/forest")
-        for k, points in enumerate(cv.subModels):
-            models = models.union(model_tables.from_forest(spark, name, points[best], f"{path}/forest-{k}", k))
+    if name == FOREST:
+        grid, trees, cuts = search_forests(training, folds)
+        best = best_of_grid(grid, "avg_auc").first()["grid_index"]
+        models = model_tables.from_trees(spark, name, [t for t in trees if t.point.grid_index == best], cuts)
     else:
         grid, fitted, _ = search(training, [name], folds)
         best = best_of_grid(grid, "avg_auc").first()["grid_index"]
