@@ -116,6 +116,27 @@ def test_planted_passages_are_found_in_full(spark):
             assert cut[i].split() == w[:a] + w[b:]
 
 
+def near_passages_of_large_buckets():
+    """Many texts share one word less than a paragraph, so their bands meet
+    without a passage; pairs of them hold a near passage, not an equal one."""
+    r = random.Random(21)
+    common = noise(r, 49)
+    docs = [(i, " ".join(noise(r, 12) + common + noise(r, 12))) for i in range(30)]
+    for k in range(8):
+        passage = common + noise(r, 8)
+        for i, words in ((200 + 2 * k, passage), (201 + 2 * k, passage[: 22 + k] + passage[23 + k :])):
+            docs.append((i, " ".join(noise(r, 12) + words + noise(r, 12))))
+    return docs
+
+
+def test_near_passages_in_a_bucket_of_any_size(spark):
+    df = spark.createDataFrame(near_passages_of_large_buckets(), "doc_id long, text string")
+    pairs = {(201 + 2 * k, 200 + 2 * k) for k in range(8)}
+    # Where all buckets are small, all members are compared.
+    found = [{(g["doc_id"], g["other"]) for g in substring.repeated_passages(df, substring.Rule(few=few)).collect()} for few in (16, 1000)]
+    assert found[0] == found[1] and found[0] <= pairs and len(found[0]) >= 6
+
+
 def test_a_hot_passage_and_near_passages(spark):
     r = random.Random(8)
     passage = noise(r, 100)
