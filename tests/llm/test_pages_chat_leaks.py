@@ -37,6 +37,19 @@ def test_differencing_deletes_what_pages_of_a_host_share(spark):
     assert got[1000] == "Only page" and got[2000] == got[2001] == "The same\ntwice"
 
 
+def test_differencing_decides_for_teaser_cards(spark):
+    def page(i, story, card):
+        return (i, f"http://h/{i}", f"<div>Menu</div><article><p>{card} {i}</p></article>" + "".join(f"<div>{x}</div>" for x in story) + "<div>End</div>")
+
+    rows = [page(i, [f"Story {i} has begun here", f"and it ends {i}"], "Card") for i in range(4)]
+    rows += [page(i, ["Buy"], "A story that fills its article") for i in range(4, 8)]
+    rows.append((9, "http://alone/x", "<div>A long menu that no other page shows</div><article>Short</article>"))
+    got = {r["page_id"]: r["text"] for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    want = {i: f"Card {i}\nStory {i} has begun here\nand it ends {i}" for i in range(4)}
+    want |= {i: f"A story that fills its article {i}" for i in range(4, 8)}
+    assert got == want | {9: "Short"}
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     r = random.Random(1)
     for _ in range(200):

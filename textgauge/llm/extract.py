@@ -6,7 +6,9 @@ adverts, comments ...) are dropped.  What pages do not say is found by
 differencing: pages of a host are ordered by URL path, each page is aligned
 with its nearest ones by the longest common subsequence of its lines, and the
 shared lines are deleted.  Lines inside an ``article`` or ``main`` element are
-the page's own claim and stay: two copies of an article share all of them.
+the page's own claim and stay: two copies of an article share all of them.  The
+claim is tested by differencing: a page that has more text of its own outside
+these elements (teaser cards around a story) keeps that text too.
 """
 
 from __future__ import annotations
@@ -245,8 +247,10 @@ def main_text(pages: DataFrame) -> DataFrame:
     places = F.filter(every, lambda i: F.get("open", i))
     gone = F.get(F.transform(F.array(places), lambda p: F.transform("gone", lambda g: F.get(p, g))), F.lit(0))
     kept = F.transform(F.array_except(every, gone), lambda i: F.get("lines", i))
-    article = F.exists("open", lambda o: ~o)
     only = F.filter("lines", lambda x, i: ~F.get("open", i))
+    # Without a shared line nothing tells own text outside an article from the rest of the page.
+    outside = F.length(F.array_join(kept, "")) - F.length(F.array_join(only, ""))
+    article = F.exists("open", lambda o: ~o) & (F.col("gone").isNull() | (outside <= F.length(F.array_join(only, ""))))
     text = F.array_join(F.when(article, only).when(F.col("gone").isNull(), F.col("lines")).otherwise(kept), "\n")
     rows = rows.withColumn("text", F.coalesce(text, F.lit("")))
     return rows.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
