@@ -166,3 +166,13 @@ def test_pages_of_many_lines(spark):
     rows = [(i, f"http://h/{i}", h) for i, h in enumerate(html)]
     got = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, PAGES)).collect()}
     assert got == {i: "\n".join(lines) for i, lines in enumerate(own)}
+
+
+def test_texts_are_made_tokens_once_for_their_windows(spark):
+    docs = spark.createDataFrame([(1, "Anna ran 5 km in May."), (2, "two words"), (3, "")], "doc_id long, text string")
+    for kind, passes in ((decontaminate.NAMES, 3), (decontaminate.FOLDED, 4)):
+        tokens, raw = decontaminate._seen("text", kind)
+        seen = docs.select("doc_id", tokens.alias("tokens"), *([raw.alias("raw")] if kind == decontaminate.FOLDED else []))
+        windows = decontaminate._windows(seen, "doc_id", 5, kind)
+        assert windows._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == passes
+        assert [tuple(r) for r in windows.select("doc_id", "place").collect()] == [(1, 0), (1, 1)]

@@ -15,6 +15,8 @@ copies in other case, and titles and sums word for word.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +34,9 @@ UNITS = [
 PUNCTUATION = ".,;:!?\"'()[]{}<>|*#$%&+=/\\_~^`@-–—“”‘’«»¿¡…"
 SPACE = r"[\x20\x09-\x0D]+"
 NUMBER, UNIT, NAME = "\u0001", "\u0002", "\u0003"
-# A number does not begin inside a word: names such as "x12" stay words.
-_NUMBER = r"(?<![\p{L}\p{M}0-9])[0-9]+(?:[.,:/][0-9]+)*"
+# A number does not begin inside a word: names such as "x12" stay words.  The
+# digit is asked first, which ends most places of a text at once.
+_NUMBER = r"(?=[0-9])(?<![\p{L}\p{M}0-9])[0-9]+(?:[.,:/][0-9]+)*"
 _UNITS = "|".join("\\" + u if u == "$" else u for u in sorted(UNITS, key=len, reverse=True))
 # The unit is a word of its own or ends the word of the number.
 _QUANTITY = rf"{NUMBER}({SPACE})?(?:{_UNITS})(?![\p{{L}}0-9])"
@@ -57,7 +60,7 @@ class Rule:
 
 def _tokens(text: Column) -> Column:
     plain = F.lower(F.translate(text, PUNCTUATION, ""))
-    return F.filter(F.split(plain, SPACE), lambda w: w != "")
+    return F.array_remove(F.split(plain, SPACE), "")
 
 
 def template(text: Column | str) -> Column:
@@ -94,18 +97,16 @@ def _seen(text: str, kind: str) -> tuple[Column, Column]:
 def _windows(df: DataFrame, key: str, width: int, kind: str) -> DataFrame:
     """``(key, place, h)`` of every window of ``width`` of the ``tokens``.  In
     the folded view placeholders alone are hashed by their ``raw`` words."""
-    n = F.size("tokens") - width + 1
-
-    def window(i):
-        own = [F.get("tokens", i + j) for j in range(width)]
-        h = F.xxhash64(F.lit(kind), *own)
-        if kind == NAMES:
-            return h
-        blank = (F.greatest(*own) if width > 1 else own[0]) < "\u0004"
-        return F.when(blank, F.xxhash64(F.lit("words"), *[F.get("raw", i + j) for j in range(width)])).otherwise(h)
-
-    hashes = F.transform(F.sequence(F.lit(0), n - 1), window)
-    return df.where(n > 0).select(key, F.posexplode(hashes).alias("place", "h"))
+    own = ["word", *[F.get("tokens", F.col("place") + j) for j in range(1, width)]]
+    h = F.xxhash64(F.lit(kind), *own)
+    # Windows are put together behind the explosion, in generated code.  A filter on the size of ``tokens`` before it,
+    # which an inner explosion brings along, would go below the projection and make the tokens twice.
+    df = df.select("*", F.posexplode_outer("tokens").alias("place", "word")).where(F.col("place") <= F.size("tokens") - width)
+    if kind == FOLDED:
+        # Mostly the first word already is no placeholder.
+        blank = reduce(and_, [F.col("word") < "\u0004", *[w < "\u0004" for w in own[1:]]])
+        h = F.when(blank, F.xxhash64(F.lit("words"), *[F.get("raw", F.col("place") + j) for j in range(width)])).otherwise(h)
+    return df.select(key, "place", h.alias("h"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFrame:
