@@ -115,3 +115,19 @@ def test_stat_slots_of_the_vector(spark):
     df = spark.createDataFrame([(0, "Hello WORLD!")], "doc_id long, text string")
     out = features.fit_features(df, num_features=64, min_doc_freq=1, min_chars=1).transform(df)
     assert out.select(vector_to_array("features").alias("v")).first().v[-5:] == [12.0, 2.0, 6.0, 0.5, 1.0]
+
+
+def test_naive_bayes_folds_equal_a_model_per_fold(spark):
+    rows = [(i, i % 3 % 2, i % 4, [f"w{(i * k) % 11}" for k in range(i % 6)]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, label int, fold int, words array<string>")
+    got = terms.naive_bayes_folds(docs, 4, [0.5, 1.0])
+    # A model per fold and smoothing reads the documents again for each; here once for the counts and once for the answers.
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+    got = {r.doc_id: (r.label, r.fold, r.margins) for r in got.collect()}
+    assert len(got) == 60
+    for k in range(4):
+        for j, smoothing in enumerate((0.5, 1.0)):
+            classes, weights = terms.naive_bayes_terms(docs.where(F.col("fold") != k), smoothing)
+            for r in terms.naive_bayes_predict(docs.where(F.col("fold") == k), classes, weights).collect():
+                label, fold, margins = got[r.doc_id]
+                assert (label, fold) == (r.label, k) and abs(margins[j] - r.margin) < 1e-9
