@@ -73,6 +73,28 @@ def test_roc_does_not_depend_on_buckets(scored, bits):
         assert got[t] == pytest.approx(((above.label == 0).sum() / neg, (above.label == 1).sum() / pos))
 
 
+def test_tasks_of_a_curve_follow_the_rows(spark, scored, monkeypatch):
+    """Frequent scores, both zeros and a score that is missing; more tasks than the session's eight."""
+    def points(frame):
+        return sorted((r.model, r.score is not None, (r.score or 0) + 0.0, *r[2:]) for r in frame.collect())
+
+    odd = [("c", i % 2, [0.0, -0.0, 1.0, None][i % 4]) for i in range(400)]
+    pred = scored.select("model", "label", "score").unionByName(spark.createDataFrame(odd, "model string, label int, score double")).repartition(5)
+    want = points(roc.cumulative_counts(pred, ["model"]))
+    areas = sorted(roc.area_under_roc(pred, ["model"]).collect())
+    monkeypatch.setattr(roc, "ROWS_PER_TASK", 300)
+    rows = pred.count()
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = roc.cumulative_counts(pred, ["model"], rows=rows)
+        assert got.rdd.getNumPartitions() == -(-rows // 300) > 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert points(got) == want
+    assert sorted(roc.area_under_roc(pred, ["model"], rows=rows).collect()) == [pytest.approx(a) for a in areas]
+
+
 def test_one_class_and_all_tied(spark):
     rows = [(1, "one", 1, 0.1, 1.0), (2, "one", 1, 0.2, 0.0), (1, "tie", 1, 0.5, 1.0), (2, "tie", 0, 0.5, 1.0)]
     df = spark.createDataFrame(rows, "row_id long, model string, label int, score double, prediction double")
