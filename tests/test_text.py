@@ -131,3 +131,17 @@ def test_naive_bayes_folds_equal_a_model_per_fold(spark):
             for r in terms.naive_bayes_predict(docs.where(F.col("fold") == k), classes, weights).collect():
                 label, fold, margins = got[r.doc_id]
                 assert (label, fold) == (r.label, k) and abs(margins[j] - r.margin) < 1e-9
+
+
+def test_statistics_of_raw_texts_are_made_once(spark, capsys):
+    """Null, empty and short texts have no features; no filter repeats the statistics."""
+    long = "Some WORDS of a text that is long enough to be kept by the cleaning stage, whatever it says! " * 2
+    rows = [(1, long), (2, long.upper()), (3, None), (4, ""), (5, "short"), (6, " \n" * 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = features.fit_features(docs, num_features=64, min_doc_freq=0).transform(docs).select("doc_id", "text_stats", "features")
+    capsys.readouterr()
+    made.explain()
+    assert capsys.readouterr().out.count("[^A-Z]+") == 1
+    got = {r.doc_id: r for r in made.collect()}
+    assert set(got) == {1, 2}
+    assert got[1].text_stats[0] == len(long) and got[2].text_stats[3] > got[1].text_stats[3] and got[1].features.size == 64 + 5

@@ -62,6 +62,9 @@ def feature_pipeline(num_features: int = NUM_FEATURES, min_doc_freq: int = MIN_D
 
     Statistics come from the raw text, before cleaning removes capitals and
     punctuation.  Fitting runs one job, the document-frequency count.
+
+    The cleaning stage drops the texts without statistics, so their assembler has
+    none to skip: its filter would be pushed below them and make them twice.
     """
     return Pipeline(stages=[
         TextStatistics(inputCol=input_col),
@@ -70,7 +73,7 @@ def feature_pipeline(num_features: int = NUM_FEATURES, min_doc_freq: int = MIN_D
         stop_word_remover(),
         hashing_tf(num_features),
         IDF(inputCol="raw_features", outputCol="tfidf_features", minDocFreq=min_doc_freq),
-        VectorAssembler(inputCols=STAT_COLUMNS, outputCol="text_stats", handleInvalid="skip"),
+        VectorAssembler(inputCols=STAT_COLUMNS, outputCol="text_stats", handleInvalid="error"),
         VectorAssembler(inputCols=["tfidf_features", "text_stats"], outputCol="features", handleInvalid="skip"),
     ])
 
