@@ -4,6 +4,7 @@ as tables against ``transform``."""
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.linalg import Vectors
@@ -151,3 +152,74 @@ def test_rows_without_label_and_empty_tables(spark, table):
         search.search(none, ["LogisticRegression"], FOLDS)
     mixed = table.unionByName(none.limit(20))
     assert grid_search.feature_blocks(mixed).count() == grid_search.feature_blocks(table).count()
+
+
+def test_features_far_from_zero_do_not_hold_up_a_search(spark, monkeypatch):
+    """Features whose mean is many deviations pull the free intercept along;
+    the default number of steps still comes near the optimum.  Passes are
+    answered in this process."""
+    r = np.random.default_rng(8)
+    y = np.arange(400) % 2
+    x = r.normal(size=(400, 12)) * 4 + np.where(np.arange(12) < 6, 500, 0) + 3 * (y[:, None] == np.arange(12) % 2)
+    sign, scale = 2.0 * y - 1, x.std(0, ddof=1)
+
+    def answers(blocks, asks, size):
+        for _, a in asks:
+            z = x @ a.weights + a.intercept
+            short, p = 1 - sign * z, 1 / (1 + np.exp(-z))
+            if a.width:
+                slope = np.clip(short / a.width, 0, 1)
+                loss, d = np.where(short < a.width, slope * short / 2, short - a.width / 2), -sign * slope
+            else:
+                loss, d = np.logaddexp(0, -sign * z), p - y
+            xs = None if a.working is None else np.column_stack([x[:, a.working], np.ones(len(x))])
+            yield grid_search.Values(loss.sum(), d @ x, d.sum(), None if xs is None else xs.T @ (xs * (p * (1 - p))[:, None]))
+
+    monkeypatch.setattr(grid_search, "_answers", answers)
+    rows, sums = np.array([[200.0, 200.0]]), np.stack([x[y == 0].sum(0), x[y == 1].sum(0)])[None]
+    found = grid_search.Moments(rows, sums, (x * x).sum(0)[None], [0])
+    # The paths without an L1 part.
+    grids = {n: [p for p in search.grid_points(n) if not p.get("elasticNetParam")] for n in ("LogisticRegression", "LinearSVC")}
+
+    def objectives(settings):
+        out = {}
+        for f in grid_search.fit_linear(None, 12, grids, [-1], found, settings)[0]:
+            point, z, w = grids[f.point.model][f.point.grid_index], x @ f.weights + f.intercept, f.weights * scale
+            loss = np.maximum(0, 1 - sign * z) if f.point.model == "LinearSVC" else np.logaddexp(0, -sign * z)
+            out[f.point] = loss.mean() + point["regParam"] / 2 * w @ w
+        return out
+
+    few, many = objectives(grid_search.Settings()), objectives(grid_search.Settings(tolerance=1e-9, loose=1e-9, steps=3000))
+    assert len(few) == 4
+    for point, value in few.items():
+        assert value <= many[point] + 1e-3, (point, value, many[point])
+
+
+def test_blocks_of_a_pass_are_short_and_few(spark):
+    """Repeated values are put down once, rows without entries keep their
+    place, and the tasks of a pass follow the cores."""
+    rows = [(i % 2, i % FOLDS, Vectors.sparse(100_000, {} if i % 7 == 0 else {j: 0.1 + (i * j) % 5 for j in range(i % 3, 90, 3)})) for i in range(600)]
+    df = spark.createDataFrame(rows, ["label", "fold", "features"]).repartition(200)
+    whole = grid_search.held(grid_search.feature_blocks(df, most=1 << 10))
+    live = grid_search.moments(whole, 100_000, FOLDS).live()
+    blocks = grid_search.gathered(grid_search.compacted(whole, live, 100_000))
+    assert blocks.rdd.getNumPartitions() == 25
+    packed = [sum(len(b[c]) for b in df.collect() for c in ("i", "x", "places") if c in df.columns) for df in (whole, blocks)]
+    assert 2 * packed[1] < packed[0]
+    weights = np.random.default_rng(2).normal(size=(3, len(live)))
+    wide = np.zeros((3, 100_000))
+    wide[:, live] = weights
+
+    def sums(blocks, weights):
+        def run(batches):
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    b = grid_search.Block(batch, r)
+                    out = np.zeros(weights.shape)
+                    z = b.margins(weights, np.ones(3))
+                    b.add_transposed(np.where(z > 0, z, 0), out)
+                    yield pa.RecordBatch.from_pydict({"z": [float((z * [1, 2, 3]).sum())], "g": [float((out * weights).sum())], "n": [len(z)]})
+        return blocks.mapInArrow(run, "z double, g double, n long").groupBy().sum().first()
+
+    np.testing.assert_allclose(sums(blocks, weights), sums(whole, wide), rtol=1e-9)
+    assert sums(blocks, weights)[2] == 600

@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 
 BLOCK_ROWS = 2048
 BLOCK_ENTRIES = 1 << 19
+# Blocks that are read by every pass: products stay in a core's cache, and the
+# copies on the way to Python stay small.
+PASS_ENTRIES = 1 << 16
 ALL_ROWS = -1  # the fold of a model that leaves no row out
 
 
@@ -108,10 +111,12 @@ class Moments:
 
 # --- blocks --------------------------------------------------------------------------------------
 
-def feature_blocks(rows: DataFrame, features: str = "features", label: str = "label", fold: str = "fold") -> DataFrame:
+def feature_blocks(rows: DataFrame, features: str = "features", label: str = "label", fold: str = "fold",
+                   most: int = BLOCK_ENTRIES) -> DataFrame:
     """``rows`` as blocks of sparse rows: labels, folds, row ends, feature
     numbers and values as packed arrays.  Rows without label or features have
-    no place in a fit and are left out."""
+    no place in a fit and are left out.  A block ends with the row that brings
+    it to ``most`` entries."""
     v = F.unwrap_udt(features)
     flat = rows.where(F.col(features).isNotNull() & F.col(label).isNotNull()).select(
         F.col(label).cast("double").alias("y"), F.col(fold).cast("int").alias("f"), v["indices"].alias("i"), v["values"].alias("x"),
@@ -126,7 +131,7 @@ def feature_blocks(rows: DataFrame, features: str = "features", label: str = "la
                 some = values != 0
                 held.append((y.as_py(), f.as_py(), at[some], values[some], size.as_py()))
                 entries += int(some.sum())
-                if len(held) == BLOCK_ROWS or entries >= BLOCK_ENTRIES:
+                if len(held) == BLOCK_ROWS or entries >= most:
                     yield _packed(held)
                     held, entries = [], 0
         if held:
@@ -144,30 +149,52 @@ def _packed(held) -> pa.RecordBatch:
 
 
 class Block:
-    """Sparse rows with what products with many coefficient vectors need."""
+    """Sparse rows with what products with many coefficient vectors need.
+    Products go model by model over contiguous vectors and machine-size
+    indices: numpy copies any others once for every model."""
 
     def __init__(self, batch: pa.RecordBatch, row: int):
-        kinds = {"y": np.float64, "f": np.int32, "ends": np.int64, "i": np.int32, "x": np.float64}
-        read = {k: np.frombuffer(batch.column(k)[row].as_buffer(), t) for k, t in kinds.items()}
-        self.y, self.f, self.i, self.x = read["y"], read["f"], read["i"], read["x"]
-        self.row = np.repeat(np.arange(len(self.y)), np.diff(read["ends"], prepend=0))
+        def read(name, kind):
+            return np.frombuffer(batch.column(name)[row].as_buffer(), kind)
+
+        self.y, self.f, ends, self.x = read("y", np.float64), read("f", np.int32), read("ends", np.int64), read("x", np.float64)
+        if "places" in batch.schema.names:
+            self.i = _entries(read("i", np.uint8), ends)
+            if len(places := _entries(read("places", np.uint8), ends)):
+                self.x = self.x.take(places)
+        else:
+            self.i = read("i", np.int32)
+        self.at = self.i.astype(np.intp)
+        entries = np.diff(ends, prepend=0)
+        self.row = np.repeat(np.arange(len(self.y)), entries)
+        # Rows without entries have no sum of their own.
+        self.filled = np.flatnonzero(entries)
+        self.starts = (ends - entries)[self.filled]
 
     def margins(self, weights: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
         """rows x models."""
-        out = np.empty((len(self.y), len(weights)))
-        for m, w in enumerate(weights):
-            out[:, m] = np.bincount(self.row, self.x * w[self.i], len(self.y))
-        return out + intercepts
-
-    def transposed(self, per_row: np.ndarray, size: int) -> np.ndarray:
-        """models x features: sums over rows of ``per_row`` times the row."""
-        return np.stack([np.bincount(self.i, self.x * c[self.row], size) for c in per_row.T])
+        out = np.zeros((len(weights), len(self.y)))
+        if len(self.filled):
+            for w, z in zip(weights, out):
+                z[self.filled] = np.add.reduceat(w.take(self.at) * self.x, self.starts)
+        return out.T + intercepts
+
+    def add_transposed(self, per_row: np.ndarray, out: np.ndarray) -> None:
+        """Add to ``out``, models x features, the sums over rows of ``per_row``
+        times the row.  Rows that are zero for every model add nothing."""
+        at, x, row = self.at, self.x, self.row
+        some = per_row.any(1)
+        if 4 * np.count_nonzero(some) < 3 * len(some):
+            entry = np.flatnonzero(some.take(row))
+            at, x, row = at.take(entry), x.take(entry), row.take(entry)
+        for c, sums in zip(np.ascontiguousarray(per_row.T), out):
+            sums += np.bincount(at, c.take(row) * x, len(sums))
 
     def columns(self, features: np.ndarray, size: int) -> np.ndarray:
         """Dense columns of some features, and a last one of ones."""
         place = np.full(size, -1)
         place[features] = np.arange(len(features))
-        at = place[self.i]
+        at = place.take(self.at)
         out = np.zeros((len(self.y), len(features) + 1))
         out[:, -1] = 1
         some = at >= 0
@@ -228,19 +255,39 @@ def moments(blocks: DataFrame, size: int, folds: int) -> Moments:
 
 def compacted(blocks: DataFrame, live: np.ndarray, size: int) -> DataFrame:
     """Blocks whose features are numbered among ``live``, those that occur:
-    what a pass sends and returns is as wide as they are."""
+    what a pass sends and returns is as wide as they are.
+
+    Every pass reads them, so numbers are as short as they can be, and values
+    of which a block has few are put down once, with ``places`` among them."""
     place = np.zeros(size, np.int32)
     place[live] = np.arange(len(live), dtype=np.int32)
     sent = blocks.sparkSession.sparkContext.broadcast(place)
 
     def run(batches):
         for batch in batches:
-            packed = [sent.value[np.frombuffer(x.as_buffer(), np.int32)].tobytes() for x in batch.column("i")]
+            features = [_short(sent.value[np.frombuffer(i.as_buffer(), np.int32)], len(live)).tobytes() for i in batch.column("i")]
+            values, places = [], []
+            for x in batch.column("x"):
+                own = np.frombuffer(x.as_buffer())
+                distinct, at = np.unique(own, return_inverse=True)
+                few = 2 * len(distinct) < len(own)
+                values.append((distinct if few else own).tobytes())
+                places.append(_short(at, len(distinct)).tobytes() if few else b"")
             columns = {c: batch.column(c) for c in batch.schema.names} | {
-                "size": pa.array([len(live)] * batch.num_rows, pa.int32()), "i": pa.array(packed, pa.binary())}
+                "size": pa.array([len(live)] * batch.num_rows, pa.int32()), "i": pa.array(features, pa.binary()),
+                "x": pa.array(values, pa.binary()), "places": pa.array(places, pa.binary())}
             yield pa.RecordBatch.from_pydict(columns)
 
-    return blocks.mapInArrow(run, blocks.schema)
+    return blocks.mapInArrow(run, "size int, y binary, f binary, ends binary, i binary, x binary, places binary")
+
+
+def _short(numbers: np.ndarray, below: int) -> np.ndarray:
+    return numbers.astype(np.uint16 if below <= 1 << 16 else np.int32)
+
+
+def _entries(packed: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """What ``_short`` packed, a number per entry."""
+    return packed.view(np.uint16 if packed.size == 2 * ends[-1] else np.int32)
 
 
 # --- one pass for all models -----------------------------------------------------------------------
@@ -293,12 +340,12 @@ def _answers(blocks: DataFrame, asks: list[tuple[int, Ask]], size: int) -> list[
             d = np.where(hinge, -sign * slope, p - (sign > 0)) * used
             main[:, 0] += loss.sum(0)
             main[:, 1] += d.sum(0)
-            main[:, 2:] += b.transposed(d, size)
+            b.add_transposed(d, main[:, 2:])
             for k, features in enumerate(working):
                 if features is not None:
                     x = b.columns(features, size)
-                    h = (p[:, k] * (1 - p[:, k]) * used[:, k])[:, None]
-                    out[starts[k] : starts[k + 1]] += (x.T @ (x * h)).ravel()
+                    x *= np.sqrt(p[:, k] * (1 - p[:, k]) * used[:, k])[:, None]
+                    out[starts[k] : starts[k + 1]] += (x.T @ x).ravel()
         return out
 
     flat = _summed(blocks, parts, int(starts[-1]))
@@ -316,16 +363,25 @@ Search = Generator[Ask, Values, tuple[np.ndarray, float, float, int]]
 @dataclass
 class Scale:
     """Rows of a model and the scale on which its features are penalised; a
-    feature that never changes gets no coefficient."""
+    feature that never changes gets no coefficient.
+
+    ``center`` holds means of the features on that scale.  ``theta`` then has
+    the intercept of the centred features: the intercept is free, so the
+    optimum stays, but features far from zero no longer pull it along."""
 
     rows: float
     inverse: np.ndarray
+    center: np.ndarray | None = None
 
     def ask(self, theta: np.ndarray, **more) -> Ask:
-        return Ask(theta[:-1] * self.inverse, theta[-1], **more)
+        shift = 0.0 if self.center is None else self.center @ theta[:-1]
+        return Ask(theta[:-1] * self.inverse, theta[-1] - shift, **more)
 
     def mean(self, v: Values) -> tuple[float, np.ndarray]:
-        return v.loss / self.rows, np.append(v.gradient * self.inverse, v.intercept) / self.rows
+        g = v.gradient * self.inverse
+        if self.center is not None:
+            g -= self.center * v.intercept
+        return v.loss / self.rows, np.append(g, v.intercept) / self.rows
 
     def second(self, v: Values, working: np.ndarray) -> np.ndarray:
         s = np.append(self.inverse[working], 1.0)
@@ -504,19 +560,20 @@ def net_path(points, share, size, scale, settings) -> Search:
 
 def _paths(model: str, grid: list[dict]) -> list:
     """The searches of a linear model's grid: a function of (size, scale,
-    settings) for each."""
+    settings) for each, and whether it is about centred features.  Second-order
+    statistics are those of the features as they are."""
     def down(points):
         return sorted(points, key=lambda p: -p[1])
 
     if model == "LinearSVC":
-        return [lambda size, scale, settings, i=i, p=p: hinge_path([(i, p["regParam"])], size, scale, settings) for i, p in enumerate(grid)]
+        return [(lambda size, scale, settings, i=i, p=p: hinge_path([(i, p["regParam"])], size, scale, settings), True) for i, p in enumerate(grid)]
     out = []
     for share in sorted({p["elasticNetParam"] for p in grid}):
         points = down([(i, p["regParam"]) for i, p in enumerate(grid) if p["elasticNetParam"] == share])
         if share:
-            out.append(lambda size, scale, settings, points=points, share=share: net_path(points, share, size, scale, settings))
+            out.append((lambda size, scale, settings, points=points, share=share: net_path(points, share, size, scale, settings), False))
         else:
-            out.append(lambda size, scale, settings, points=points: ridge_path(points, size, scale, settings))
+            out.append((lambda size, scale, settings, points=points: ridge_path(points, size, scale, settings), True))
     return out
 
 
@@ -526,10 +583,12 @@ def fit_linear(blocks: DataFrame, size: int, grids: dict[str, list[dict]], folds
     over the blocks."""
     live, out, passes = [], [], 0
     for (model, grid), fold in itertools.product(grids.items(), folds):
-        rows = found.of(fold)[0].sum()
+        rows, sums, _ = found.of(fold)
         deviation = found.deviation(fold)
-        scale = Scale(max(rows, 1.0), np.divide(1.0, deviation, out=np.zeros(size), where=deviation > 0))
-        for path in _paths(model, grid):
+        plain = Scale(max(rows.sum(), 1.0), np.divide(1.0, deviation, out=np.zeros(size), where=deviation > 0))
+        centred = replace(plain, center=sums.sum(0) / plain.rows * plain.inverse)
+        for path, about_means in _paths(model, grid):
+            scale = centred if about_means else plain
             live.append([model, fold, scale, path(size, scale, settings), None])
 
     def advance(entry, values):
@@ -539,7 +598,8 @@ def fit_linear(blocks: DataFrame, size: int, grids: dict[str, list[dict]], folds
             said = search.send(values)
             while not isinstance(said, Ask):
                 index, theta, off, used = said
-                out.append(Fitted(Point(model, index, fold), theta[:-1] * scale.inverse, float(theta[-1]), float(off), used))
+                at = scale.ask(theta)
+                out.append(Fitted(Point(model, index, fold), at.weights, float(at.intercept), float(off), used))
                 said = next(search)
             entry[4] = said
         except StopIteration:
@@ -591,6 +651,14 @@ def held_out_scores(blocks: DataFrame, fitted: list[Fitted]) -> DataFrame:
     return blocks.mapInArrow(run, "model string, grid_index int, fold int, label int, score double")
 
 
+def gathered(blocks: DataFrame) -> DataFrame:
+    """Blocks in two partitions a core, or an eighth of their own number where
+    that is more.  Every task of a pass returns a whole vector, so what a pass
+    shuffles should follow the cores and not the files of the table."""
+    n = blocks.rdd.getNumPartitions()
+    return blocks.coalesce(min(n, max(2 * blocks.sparkSession.sparkContext.defaultParallelism, -(-n // 8))))
+
+
 def held(blocks: DataFrame) -> DataFrame:
     """Blocks kept by the executors over the passes of a search; a lost one is
     read again."""

@@ -56,7 +56,7 @@ def search(training: DataFrame, names: list[str], folds: int, settings: grid_sea
     ``(grid, fitted, passes)``, the grid table, all fits and the passes that
     were needed."""
     spark = training.sparkSession
-    whole = grid_search.held(grid_search.feature_blocks(training))
+    whole = grid_search.held(grid_search.feature_blocks(training, most=grid_search.PASS_ENTRIES))
     blocks = None
     try:
         size = whole.agg(F.max("size")).first()[0]
@@ -65,7 +65,7 @@ def search(training: DataFrame, names: list[str], folds: int, settings: grid_sea
         every = [*range(folds), ALL_ROWS]
         found = grid_search.moments(whole, size, folds)
         live = found.live()
-        blocks = grid_search.held(grid_search.compacted(whole, live, size))
+        blocks = grid_search.held(grid_search.gathered(grid_search.compacted(whole, live, size)))
         linear = {n: grid_points(n) for n in names if n != "NaiveBayes"}
         fitted, passes = grid_search.fit_linear(blocks, len(live), linear, every, found.only(live), settings)
         for f in fitted:
