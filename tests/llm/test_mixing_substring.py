@@ -204,3 +204,51 @@ def test_inserted_and_deleted_words(spark):
     got = {g["doc_id"]: (g["start"], g["stop"], g["other_start"]) for g in substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert set(got.items()) <= set(want.items())
     assert len(got) >= 0.9 * 60
+
+
+def test_a_passage_inside_another_one_connects_its_documents(spark):
+    r = random.Random(13)
+    passage = noise(r, 230)
+    # Changed words at other places: both are near the passage, but not near each other.
+    one = ["x%d" % i if i % 50 == 25 or i == 0 else w for i, w in enumerate(passage[:200])]
+    two = ["y%d" % i if i % 50 == 0 else w for i, w in enumerate(passage)]
+    docs = [(i, " ".join(noise(r, 20) + text + noise(r, 20))) for i, text in enumerate((one, two, passage))]
+    got = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert [(g["doc_id"], g["other"], g["start"], g["stop"]) for g in got] == [(2, 1, 21, 250)]
+    assert got[0]["cluster"] == 0
+
+
+def brute_exact_passages(docs, least=50):
+    """Longest equal runs of words with an earlier document, none inside another."""
+    out = {}
+    for d, a in docs:
+        found = set()
+        for o, b in docs:
+            before = [0] * (len(b) + 1)
+            for i, x in enumerate(a if o < d else []):
+                now = [0] + [before[j] + 1 if x == y else 0 for j, y in enumerate(b)]
+                found |= {(i + 1 - n, i + 1) for n in set(now) if n >= least}
+                before = now
+        found = sorted(s for s in found if not any(t[0] <= s[0] and s[1] <= t[1] and s != t for t in found))
+        if found:
+            out[d] = found
+    return out
+
+
+def test_runs_of_few_words_repeated(spark):
+    r = random.Random(14)
+    docs = []
+    for i in range(24):
+        text = noise(r, 7)
+        for _ in range(r.choice([1, 2])):
+            cycle = r.choice([["w"], ["a", "b"], ["k", "l", "m", "n", "o"]])
+            length, start = r.randrange(40, 130), r.randrange(len(cycle))
+            text += [cycle[(start + j) % len(cycle)] for j in range(length)] + noise(r, 6)
+        docs.append((i, text))
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    got, texts = {}, dict(docs)
+    for g in substring.repeated_passages(df).collect():
+        got.setdefault(g["doc_id"], set()).add((g["start"], g["stop"]))
+        n = g["stop"] - g["start"]
+        assert texts[g["doc_id"]][g["start"] : g["stop"]] == texts[g["other"]][g["other_start"] : g["other_start"] + n]
+    assert {d: sorted(x) for d, x in got.items()} == brute_exact_passages(docs)
